@@ -209,11 +209,15 @@ _PROVINCE_KEYS = ["province_id", "province_name", "province_area_code", "provinc
                   "province_3166_2_code"]
 
 
-def province_stats(wide: DataFrame, width: str = WINDOW, delay: str = "1 second",
-                   as_of: int | None = None) -> DataFrame:
+def province_stats(wide: DataFrame, width: str = WINDOW, delay: str | None = "1 second",
+                   time: Column | None = None, as_of: int | None = None) -> DataFrame:
     """Distinct orders and amount per province and window, by the same two
-    aggregates as the products: five provinces would else be five hot groups."""
-    per_order = tumble(wide, parse_stamp("create_time"), width, [*_PROVINCE_KEYS, "order_id"],
+    aggregates as the products: five provinces would else be five hot groups.
+
+    On a stream that already carries a watermark pass its column as ``time``
+    and ``delay=None``.
+    """
+    per_order = tumble(wide, parse_stamp("create_time") if time is None else time, width, [*_PROVINCE_KEYS, "order_id"],
                        [F.sum("split_total_amount").alias("order_amount")], delay)
     agg = per_order.groupBy("window", *_PROVINCE_KEYS).agg(
         F.sum("order_amount").cast(MONEY_SUM).alias("order_amount"),

@@ -19,6 +19,8 @@ def write_result(df: DataFrame, path: str, table: str, batch_id: int) -> None:
     ``dt``, the window's day, so a report of one day opens that day only.
     """
     out = positional(df, table).withColumn("dt", F.to_date("stt"))
+    # few files per day; AQE splits a day that is too large for one task
+    out = out.hint("rebalance", "dt")
     out.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
 
 
