@@ -7,12 +7,45 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tallybrook.schemas import LOG
 
 
-def lenient(value: Column | str, schema: T.StructType) -> Column:
-    """Parse once and cast field by field: ``"5"`` reads as the number 5, a
-    field of the wrong kind reads as NULL, text that is no JSON object gives a
-    NULL struct."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.try_variant_get(F.try_parse_json(v), "$", schema.simpleString())
+def _relaxed(t: T.DataType) -> T.DataType:
+    """The type with every leaf a string, which no JSON value fails to fit."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _relaxed(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_relaxed(t.elementType))
+    if isinstance(t, T.MapType):
+        return T.MapType(T.StringType(), _relaxed(t.valueType))
+    return T.StringType()
+
+
+def _typed(c: Column, t: T.DataType) -> Column:
+    """A relaxed value in its declared type; what does not fit is NULL."""
+    if t == _relaxed(t):
+        return c
+    if isinstance(t, T.StructType):
+        fields = [_typed(c[f.name], f.dataType).alias(f.name) for f in t.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda e: _typed(e, t.elementType))
+    if isinstance(t, T.MapType):
+        return F.transform_values(c, lambda _, v: _typed(v, t.valueType))
+    return c.try_cast(t)
+
+
+def read_json(df: DataFrame, schema: T.StructType, value: str = "value",
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parse each line once into the struct ``j``, next to the ``keep`` columns.
+
+    Fields are cast one by one: ``"5"`` reads as the number 5, a field of the
+    wrong kind as NULL; text that is no JSON object gives a struct of NULLs.
+    The generator is a fence: without it a filter on a parsed field would be
+    pushed below the projection and parse every line a second time.
+    """
+    text = F.trim(F.col(value))
+    whole = F.when(F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")), F.col(value))
+    parsed = F.from_json(whole, _relaxed(schema))
+    once = df.select(*keep, F.explode(F.array(parsed)).alias("_j"))
+    return once.select(*keep, _typed(F.col("_j"), schema).alias("j"))
 
 
 def strict(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -27,7 +60,7 @@ def records(df: DataFrame, schema: T.StructType, value: str = "value",
 
     ``keep`` names further input columns (record time, offset) to carry along.
     """
-    return df.select(lenient(value, schema).alias("j"), *keep).select("j.*", *keep)
+    return read_json(df, schema, value, keep).select("j.*", *keep)
 
 
 def parse_log(lines: DataFrame, value: str = "value", schema: T.StructType = LOG,
@@ -37,10 +70,8 @@ def parse_log(lines: DataFrame, value: str = "value", schema: T.StructType = LOG
     Dirty is whatever cannot be keyed: no JSON object, an empty line, or no
     ``common.mid``.
     """
-    parsed = lines.select(
-        F.col(value).alias("raw"), lenient(value, schema).alias("j"), *keep
-    )
-    return parsed.select(
+    named = lines.select(F.col(value).alias("raw"), *keep)
+    return read_json(named, schema, "raw", ("raw", *keep)).select(
         "raw", "j.*", *keep, F.col("j.common.mid").isNull().alias("dirty")
     )
 

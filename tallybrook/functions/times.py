@@ -21,14 +21,24 @@ def stamp(ts: Column | str) -> Column:
     return F.date_format(col(ts), STAMP)
 
 
+def _has_time(text: Column) -> Column:
+    return F.contains(text, F.lit(" "))
+
+
 def parse_stamp(text: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` to timestamp; a malformed value fails the job."""
-    return F.to_timestamp(col(text), STAMP)
+    """``yyyy-MM-dd HH:mm:ss`` to timestamp; a malformed value fails the job.
+
+    The plain cast is many times faster than a pattern; it would also take a
+    bare date, so values without a time part go to the pattern, which refuses.
+    """
+    c = col(text)
+    return F.when(_has_time(c), c.cast("timestamp")).otherwise(F.to_timestamp(c, STAMP))
 
 
 def parse_stamp_or(text: Column | str, fallback: Column) -> Column:
     """Event time from text, or the record's own time where the text is malformed."""
-    return F.coalesce(F.try_to_timestamp(col(text), F.lit(STAMP)), fallback)
+    c = col(text)
+    return F.coalesce(F.when(_has_time(c), c.try_cast("timestamp")), fallback)
 
 
 def stamp_millis(text: Column | str) -> Column:

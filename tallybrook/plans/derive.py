@@ -180,11 +180,12 @@ def dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "DIM_SPU_INFO": supplier.select(
             text("s_suppkey").alias("ID"), F.col("s_name").alias("SPU_NAME")
         ),
-        "DIM_BASE_TRADEMARK": part.groupBy(F.col("p_brand").alias("TM_NAME")).agg(
-            F.regexp_extract(F.first("p_brand"), "([0-9]+)", 1).alias("ID")
+        "DIM_BASE_TRADEMARK": part.select("p_brand").distinct().select(
+            brand.alias("ID"), F.col("p_brand").alias("TM_NAME")
         ),
-        "DIM_BASE_CATEGORY3": part.groupBy(F.col("p_type").alias("NAME")).agg(
-            text(F.array_position(types, F.first("p_type"))).alias("ID")
+        "DIM_BASE_CATEGORY3": part.select("p_type").distinct().select(
+            text(F.array_position(types, F.col("p_type"))).alias("ID"),
+            F.col("p_type").alias("NAME"),
         ),
     }
 

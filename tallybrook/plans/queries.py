@@ -349,18 +349,9 @@ def cdc_route(spark: SparkSession, folder: str) -> DataFrame:
     snap = envelope.snapshot_as_changes(table(spark, folder, "customer"), "shop", "customer")
     every = feed.unionByName(snap.withColumn("seq", F.lit(-1).cast("bigint")))
     routed = routing.route(every, rules(spark))
-    lanes = {
-        "fact": routing.facts(routed), "dim": routing.dims(routed),
-        "unrouted": routing.unrouted(routed),
-    }
-    return stats.union_all(
-        [
-            df.select(
-                F.lit(lane).alias("lane"), "seq", "sinkTable",
-                F.array_join(F.array_sort(F.map_keys("after")), ",").alias("columns"),
-            )
-            for lane, df in lanes.items()
-        ]
+    return routed.filter(routing.lane().isNotNull()).select(
+        routing.lane().alias("lane"), "seq", "sinkTable",
+        F.array_join(F.array_sort(F.map_keys("after")), ",").alias("columns"),
     )
 
 

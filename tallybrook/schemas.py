@@ -8,29 +8,40 @@ MONEY = T.DecimalType(16, 2)
 MONEY_SUM = T.DecimalType(38, 2)
 
 
-def _struct(spec: str) -> T.StructType:
-    """``"a:bigint b:string"`` to a StructType; ``money`` is DECIMAL(16,2)."""
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "money": MONEY,
+    "map": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def _struct(spec: str, **nested: T.DataType) -> T.StructType:
+    """``"a:bigint b:string"`` to a StructType, without needing a session."""
     parts = [p.split(":", 1) for p in spec.split()]
-    ddl = ", ".join(f"{n} {'decimal(16,2)' if t == 'money' else t}" for n, t in parts)
-    return T.StructType.fromDDL(ddl)
+    return T.StructType([T.StructField(n, nested.get(t) or _TYPES[t]) for n, t in parts])
 
 
 # -- behaviour log -----------------------------------------------------------
-LOG = T.StructType.fromDDL(
-    "common struct<mid:string, is_new:string, vc:string, ch:string, ar:string,"
-    " uid:string, os:string, md:string, ba:string>,"
-    " page struct<page_id:string, last_page_id:string, item:string, item_type:string,"
-    " during_time:bigint, source_type:string>,"
-    " displays array<struct<item:string, item_type:string, display_type:string,"
-    " order:string, pos_id:string>>,"
-    " start string, ts bigint"
+LOG = _struct(
+    "common:common page:page displays:displays start:string ts:bigint",
+    common=_struct(
+        "mid:string is_new:string vc:string ch:string ar:string uid:string os:string md:string"
+        " ba:string"
+    ),
+    page=_struct(
+        "page_id:string last_page_id:string item:string item_type:string during_time:bigint"
+        " source_type:string"
+    ),
+    displays=T.ArrayType(
+        _struct("item:string item_type:string display_type:string order:string pos_id:string")
+    ),
 )
 
 # -- database changes --------------------------------------------------------
-CHANGE = T.StructType.fromDDL(
-    "database string, tableName string, before map<string,string>,"
-    " after map<string,string>, type string"
-)
+CHANGE = _struct("database:string tableName:string before:map after:map type:string")
+RAW_CHANGE = _struct("op:string before:map after:map")
 RULE = _struct(
     "sourceTable:string operateType:string sinkType:string sinkTable:string"
     " sinkColumns:string sinkPK:string sinkExtend:string"

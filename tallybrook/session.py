@@ -22,8 +22,6 @@ RUNTIME_CONF = {
     # transformWithState needs RocksDB; changelog checkpoints keep commits small
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # a log line that repeats a key is still a log line: the last value wins
-    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
