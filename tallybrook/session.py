@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # hot join keys are split at run time, also where that costs one more shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # parquet is several times smaller on disk than in a broadcast: plan with the
+    # size in memory, and let AQE decide the rest on measured sizes
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # transformWithState needs RocksDB; changelog checkpoints keep commits small
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
