@@ -1,0 +1,44 @@
+"""Every registered query against its SQL twin on an independent engine."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings"
+          " pages benchmark labels conversations").split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
+    return con
+
+
+def plain(v):
+    if v is None:
+        return "NULL"
+    return repr(round(v, 6)) if isinstance(v, float) else str(v)
+
+
+def canon(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", list(entry_point.queries()))
+def test_matches_sql(spark, duck, name):
+    df = entry_point.queries()[name](spark, FOLDER)
+    found = duck.execute(entry_point.oracle_sql()[name])
+    columns = [d[0] for d in found.description]
+    assert sorted(df.columns) == sorted(columns)
+    rows = canon(df.columns, [tuple(r) for r in df.collect()])
+    assert rows == canon(columns, found.fetchall())
+    assert rows
+
+
+def test_entry(spark):
+    assert entry_point.entry(spark).count() > 0
