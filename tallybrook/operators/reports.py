@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallybrook.functions.times import day_number
 
@@ -39,5 +39,9 @@ def gmv_by_trademark(stats: DataFrame, day: int | None = None, limit: int = 5,
 
 def as_map(top: DataFrame, key: str = "tm_name", value: str = "order_amount") -> DataFrame:
     """The top rows as one MAP in rank order; ``top`` is a bounded report."""
-    pairs: Column = F.collect_list(F.struct(F.coalesce(F.col(key), F.lit("")), F.col(value)))
+    ranked = F.sort_array(
+        F.collect_list(F.struct((-F.col(value)).alias("r"), F.coalesce(F.col(key), F.lit("")).alias("k"),
+                                F.col(value).alias("v")))
+    )
+    pairs = F.transform(ranked, lambda e: F.struct(e["k"], e["v"]))
     return top.agg(F.map_from_entries(pairs).alias("amounts"))

@@ -409,7 +409,7 @@ with {PAGES}, {VISITOR_ROWS.replace("from visits", "from pages where false").rep
 ORACLE["keyword_stats_stream"] = f"""
 with {PAGES}, {SEARCHES}
 {keyword_select("searches", "day", "ts", "where " + closed(
-    "w + interval 1 day", "select ts // 1000 * 1000 as ms from searches", 1000))}"""
+    "w + interval 1 day", "select ts // 1000 * 1000 as ms from pages", 1000))}"""
 ORACLE["product_stats_stream"] = f"""
 with {PAGES}, {PRODUCT},
 {product_select("click display display2 cart refund comment", MONTH, "where " + closed(

@@ -36,17 +36,15 @@ def text_topic(spark: SparkSession, folder: str, per_batch: int | None = None) -
     """A folder of text files as a stream of ``value`` lines.
 
     ``record_time`` is the file's time, the closest there is to a broker's, and
-    ``offset`` orders the lines by file time, then by place in the file.
+    ``offset`` orders whole files by it; where the order of lines matters they
+    must carry a sequence of their own.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     at = F.col("_metadata.file_modification_time")
-    line = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
     return reader.load(folder).select(
-        "value",
-        at.alias("record_time"),
-        (F.unix_millis(at) * 1_000_000 + line).alias("offset"),
+        "value", at.alias("record_time"), F.unix_micros(at).alias("offset")
     )
 
 

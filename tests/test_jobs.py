@@ -1,0 +1,164 @@
+"""The whole warehouse over folders: logs and database changes to reports."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from conftest import T0
+from tallybrook.operators import reports, routing
+from tallybrook.plans.jobs import Warehouse
+from tallybrook.sinks.dims import read_dim
+from tallybrook.sources.files import result_table, text_lines
+from tallybrook.sources.topics import FolderTopics
+from tallybrook.streaming.run import ONCE
+
+HOUR = 3_600_000
+
+
+def log_line(mid, ms, last=None, is_new="1", page_id="home", item=None, item_type=None,
+             displays=None, start=None):
+    body = {"common": {"mid": mid, "is_new": is_new, "vc": "v1", "ch": "web", "ar": "north"},
+            "ts": T0 + ms}
+    if start:
+        body["start"] = start
+    else:
+        body["page"] = {"page_id": page_id, "last_page_id": last, "item": item,
+                        "item_type": item_type, "during_time": 100}
+        body["displays"] = displays
+    return json.dumps(body)
+
+
+LOGS = [
+    "{broken", "",
+    log_line("m1", 0, start={"entry": "icon"}),
+    log_line("m1", 1000),
+    log_line("m1", 2000, "search", page_id="good_detail", item="5", item_type="sku_id",
+             displays=[{"item": "5", "item_type": "sku_id"}, {"item": "6", "item_type": "sku_id"}]),
+    log_line("m2", 3000, is_new="0"),
+    log_line("m2", 4000, "search", is_new="0", page_id="list", item="Red ring", item_type="keyword"),
+    log_line("m3", 5000),
+    log_line("end", 2 * HOUR, "home"), log_line("end", 3 * HOUR, "home"),
+]
+
+AT = "2024-01-01 00:00:0"
+
+
+def change(table, op, after, seq, before=None):
+    return (f"srv.shop.{table}", json.dumps({"op": op, "before": before, "after": after}), seq)
+
+
+CHANGES = [
+    change("user_info", "c", {"id": 7, "gender": "F", "birthday": "1994-01-01", "pass": "x"}, 1),
+    change("base_province", "c", {"id": 1, "name": "Hebei", "area_code": "13", "iso_code": "CN-13", "iso_3166_2": "CN-HE"}, 2),
+    change("sku_info", "c", {"id": 5, "sku_name": "ring", "price": "2.50", "spu_id": 50, "tm_id": 500, "category3_id": 3}, 3),
+    change("spu_info", "c", {"id": 50, "spu_name": "rings"}, 4),
+    change("base_trademark", "c", {"id": 500, "tm_name": "Acme"}, 5),
+    change("base_trademark", "u", {"id": 500, "tm_name": "Acme2"}, 6, {"id": 500, "tm_name": "Acme"}),
+    change("base_category3", "c", {"id": 3, "name": "jewels"}, 7),
+    change("order_info", "c", {"id": 1, "user_id": 7, "province_id": 1, "total_amount": "9.00", "create_time": AT + "1"}, 8),
+    change("order_info", "c", {"id": 2, "user_id": 8, "province_id": 1, "total_amount": "1.00", "create_time": AT + "2"}, 9),
+    change("order_detail", "c", {"id": 11, "order_id": 1, "sku_id": 5, "sku_num": 2, "order_price": "2.50", "split_total_amount": "5.00", "create_time": AT + "1"}, 10),
+    change("order_detail", "c", {"id": 12, "order_id": 1, "sku_id": 6, "sku_num": 1, "order_price": "4.00", "split_total_amount": "4.00", "create_time": AT + "3"}, 11),
+    change("payment_info", "c", {"id": 21, "order_id": 1, "user_id": 7, "total_amount": "9.00", "payment_type": "1101", "subject": "s", "create_time": AT + "4"}, 12),
+    change("cart_info", "c", {"sku_id": 5, "create_time": AT + "5"}, 13),
+    change("comment_info", "c", {"sku_id": 5, "appraise": "1201", "create_time": AT + "5"}, 14),
+    change("secret", "c", {"id": 1}, 15),
+    change("order_info", "d", None, 16, {"id": 2}),
+] + [
+    # far later records let every window and join close
+    change("order_info", "c", {"id": 90 + i, "user_id": 7, "province_id": 1, "create_time": f"2024-01-01 0{2 + i}:00:00"}, 20 + i)
+    for i in range(2)
+] + [
+    change("order_detail", "c", {"id": 95 + i, "order_id": 90 + i, "sku_id": 6, "sku_num": 1, "split_total_amount": "1.00", "create_time": f"2024-01-01 0{2 + i}:00:00"}, 30 + i)
+    for i in range(2)
+] + [change("payment_info", "c", {"id": 98, "order_id": 91, "create_time": "2024-01-01 03:00:00"}, 40)]
+
+DIMS = {"user_info": "id,gender,birthday", "base_province": "id,name,area_code,iso_code,iso_3166_2",
+        "sku_info": "id,sku_name,price,spu_id,tm_id,category3_id", "spu_info": "id,spu_name",
+        "base_trademark": "id, tm_name", "base_category3": "id,name"}
+FACTS = ["order_info", "order_detail", "payment_info", "cart_info", "comment_info"]
+
+
+def rules(spark):
+    from tallybrook.schemas import RULE
+
+    rows = [(t, op, "hbase", f"dim_{t}", c, None, None) for t, c in DIMS.items()
+            for op in ("insert", "update")]
+    every = ("id,user_id,province_id,order_id,sku_id,sku_num,order_price,total_amount,"
+             "split_total_amount,create_time,payment_type,subject,appraise")
+    rows += [(t, "insert", "kafka", f"dwd_{t}", every, None, None) for t in FACTS]
+    return spark.createDataFrame(rows, RULE)
+
+
+def test_warehouse_end_to_end(spark, tmp_path):
+    wh = Warehouse(
+        spark, FolderTopics(spark, str(tmp_path / "topics"), str(tmp_path / "cp")),
+        str(tmp_path / "dims"), str(tmp_path / "results"), str(tmp_path / "cp"),
+        rules=lambda: rules(spark), trigger=ONCE,
+        as_of=F.to_timestamp(F.lit("2024-01-02 00:00:00")),
+    )
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "app.log").write_text("\n".join(LOGS) + "\n")
+    spark.createDataFrame(CHANGES, "topic string, value string, seq bigint").coalesce(1).write.parquet(
+        str(tmp_path / "feed"))
+    feed = spark.readStream.schema("topic string, value string, seq bigint").parquet(str(tmp_path / "feed"))
+
+    jobs = [lambda: wh.land_logs(str(landing)), lambda: wh.land_changes(feed, "shop"), wh.base_log,
+            wh.base_db, wh.unique_visit, wh.user_jump, wh.order_wide, wh.payment_wide,
+            wh.visitor_stats, wh.product_stats, wh.province_stats, wh.keyword_stats]
+    for job in jobs:
+        job().awaitTermination()
+
+    def topic(name):
+        return [json.loads(r.value) for r in text_lines(spark, wh.topics.path(name)).collect()]
+
+    dirty = text_lines(spark, wh.topics.path("ods_base_log_dirty")).collect()
+    assert [r.value for r in dirty if r.value] == ["{broken"]
+    start = topic("dwd_start_log")
+    assert [(r["common"]["mid"], r["common"]["is_new"]) for r in start] == [("m1", "1")]
+    pages = topic("dwd_page_log")
+    assert {r["common"]["is_new"] for r in pages if r["common"]["mid"] == "m1"} == {"0"}
+    assert sorted(r["item"] for r in topic("dwd_display_log")) == ["5", "6"]
+    assert {r["page_id"] for r in topic("dwd_display_log")} == {"good_detail"}
+    assert sorted(r["common"]["mid"] for r in topic("dwm_unique_visit")) == ["m1", "m2", "m3"]
+    assert [(r["common"]["mid"], r["reason"]) for r in topic("dwm_user_jump_detail")] == [("m3", "timeout")]
+
+    users = read_dim(spark, wh.dims, "dim_user_info").collect()
+    assert [tuple(r) for r in users] == [("7", "F", "1994-01-01")]
+    assert read_dim(spark, wh.dims, "dim_base_trademark").first().TM_NAME == "Acme2"
+    assert [r["tableName"] for r in topic("unrouted")] == ["secret"]
+
+    wide = {r["detail_id"]: r for r in topic("dwm_order_wide")}
+    assert set(wide) == {11, 12, 95, 96}
+    assert wide[11]["tm_name"] == "Acme2" and wide[11]["user_age"] == 30
+    assert wide[11]["province_name"] == "Hebei" and wide[11]["category3_name"] == "jewels"
+    assert "spu_name" not in wide[12]  # no such product: kept, unnamed
+    paid = {r["detail_id"]: r for r in topic("dwm_payment_wide")}
+    assert set(paid) == {11, 12, 96} and paid[11]["payment_id"] == 21
+
+    def result(name):
+        return result_table(spark, f"{wh.results}/{name}")
+
+    first = result("visitor_stats").filter("stt = '2024-01-01 00:00:00'").collect()
+    by_new = {r.is_new: r for r in first}
+    assert (by_new["0"].uv_ct, by_new["0"].pv_ct, by_new["0"].sv_ct) == (2, 4, 2)
+    assert (by_new["1"].uv_ct, by_new["1"].uj_ct, by_new["1"].dur_sum) == (1, 1, 100)
+    ring = result("product_stats").filter("sku_id = 5 and stt = '2024-01-01 00:00:00'").first()
+    assert (ring.click_ct, ring.display_ct, ring.cart_ct, ring.good_comment_ct) == (1, 1, 1, 1)
+    assert (ring.order_ct, ring.paid_order_ct, str(ring.order_amount)) == (1, 1, "5.00")
+    assert (ring.tm_name, ring.spu_name, str(ring.sku_price)) == ("Acme2", "rings", "2.50")
+    hebei = result("province_stats").filter("stt = '2024-01-01 00:00:00'").first()
+    assert (hebei.order_count, str(hebei.order_amount)) == (1, "9.00")
+    words = {r.keyword: r.ct for r in result("keyword_stats").collect()}
+    assert words == {"red": 1, "ring": 1, "5": 1}
+    top = reports.gmv_by_trademark(result("product_stats"), 20240101, 1).first()
+    assert (top.tm_name, str(top.order_amount)) in {("Acme2", "5.00")}
+
+
+def test_rules_can_come_from_their_own_changes(spark):
+    feed = spark.createDataFrame(
+        [("insert", {}, {"sourceTable": "t", "operateType": "insert", "sinkType": "kafka",
+                         "sinkTable": "dwd_t", "sinkColumns": "id"}, 1)],
+        "type string, before map<string,string>, after map<string,string>, seq bigint")
+    assert routing.current_rules(feed).first().sinkTable == "dwd_t"

@@ -1,0 +1,173 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import T0, drain, feed, log_frame, page
+from tallybrook.operators import logs, visits
+from tallybrook.streaming.unique import first_per_day_stream
+
+DAY = 86_400_000
+
+
+def random_pages(n=400, seed=3, span=200_000):
+    """Pages of which 40 % belong to one visitor."""
+    rnd = random.Random(seed)
+    return [
+        page("hot" if rnd.random() < 0.4 else f"m{rnd.randrange(12)}", rnd.randrange(span),
+             rnd.choice([None, "", "home"]), i, is_new=rnd.choice("01"))
+        for i, _ in enumerate(range(n))
+    ]
+
+
+def jumps_by_hand(rows, within=10_000):
+    out = []
+    by = {}
+    for r in sorted(rows, key=lambda r: (r["ts"], r["seq"])):
+        by.setdefault(r["mid"], []).append(r)
+    for seen in by.values():
+        for a, b in zip(seen, seen[1:] + [None]):
+            if a["last"]:
+                continue
+            if b is None or b["ts"] - a["ts"] >= within:
+                out.append((a["seq"], "timeout"))
+            elif not b["last"]:
+                out.append((a["seq"], "matched"))
+    return sorted(out)
+
+
+def found(df):
+    return sorted((r.seq, r.reason) for r in df.select("seq", "reason").collect())
+
+
+JUMP_CASES = [
+    page("j1", 0, None, 1), page("j1", 5000, "home", 2),
+    page("j2", 0, None, 3), page("j2", 5000, "", 4), page("j2", 6000, "home", 5),
+    page("j3", 0, None, 6),
+    page("j4", 0, None, 7), page("j4", 10_000, "home", 8),
+    page("j5", 0, None, 9), page("j5", 9999, "home", 10),
+    page("j6", 0, None, 11), page("j6", 1000, None, 12), page("j6", 2000, None, 13),
+    page("j7", 3000, "home", 15), page("j7", 0, None, 14),
+]
+JUMPS = [(3, "matched"), (6, "timeout"), (7, "timeout"), (11, "matched"), (12, "matched"),
+         (13, "timeout")]
+
+
+def test_jump_cases(spark):
+    df = log_frame(spark, JUMP_CASES)
+    assert found(visits.user_jumps(df)) == JUMPS == jumps_by_hand(JUMP_CASES)
+
+
+@pytest.mark.parametrize("slice_ms", [None, 10_000, 25_000, 10_000_000])
+def test_jumps_of_a_hot_visitor(spark, slice_ms):
+    rows = random_pages()
+    df = log_frame(spark, rows)
+    assert found(visits.user_jumps(df, slice_ms=slice_ms)) == jumps_by_hand(rows)
+    with pytest.raises(ValueError):
+        visits.user_jumps(df, slice_ms=9_999)
+
+
+def test_followed_by_other_pattern(spark):
+    df = log_frame(spark, [page("m", 0, "a", 1), page("m", 10, "b", 2), page("m", 20, "a", 3)])
+    last = F.col("page.last_page_id")
+    got = visits.followed_by(df, F.col("common.mid"), last == "a", last == "b")
+    assert found(got) == [(1, "matched"), (3, "timeout")]
+
+
+def test_jump_stream_cases(spark, tmp_path):
+    rows = JUMP_CASES + [page("end", 3_600_000, "home", 99)]
+    src = feed(spark, log_frame(spark, rows), str(tmp_path / "in"), ["true"])
+    out, _ = drain(spark, visits.user_jumps(src), tmp_path)
+    assert found(out) == JUMPS
+
+
+def test_jump_stream_out_of_order_batches(spark, tmp_path):
+    """Rows up to a minute out of order over four micro-batches."""
+    rows = random_pages(200)
+    frame = log_frame(spark, rows + [page("end", 3_600_000, "home", 999)])
+    turn = f"ts < {T0 + 3_000_000}"
+    late = f"(ts + (seq * 7919 % 60) * 1000 - {T0})"
+    cuts = [f"{turn} and {late} < 80000", f"{turn} and {late} between 80000 and 139999",
+            f"{turn} and {late} >= 140000", f"not ({turn})"]
+    src = feed(spark, frame, str(tmp_path / "in"), cuts)
+    out, _ = drain(spark, visits.user_jumps(src, delay="2 minutes"), tmp_path)
+    assert found(out) == jumps_by_hand(rows)
+
+
+UNIQUE = [
+    page("m1", 1000, None, 1), page("m1", 2000, None, 2), page("m1", 3000, "home", 3),
+    page("m1", DAY, "", 4), page("m2", 10, "home", 5), page("m2", 20, "", 6),
+    page("m2", 15, None, 7),
+]
+
+
+def test_unique_visits(spark):
+    df = visits.unique_visits(log_frame(spark, UNIQUE))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # cut down before the shuffle
+    assert sorted(r.seq for r in df.collect()) == [1, 4, 7]
+
+
+def test_unique_visit_stream_over_batches(spark, tmp_path):
+    rows = UNIQUE + [page("m1", 5000, None, 8), page("m1", DAY + 5, None, 9)]
+    src = feed(spark, log_frame(spark, rows), str(tmp_path / "in"),
+               ["seq <= 4", "seq > 4"])
+    out, _ = drain(spark, visits.unique_visits(src), tmp_path)
+    got = sorted((r.common.mid, (r.ts - T0) // DAY) for r in out.collect())
+    assert got == [("m1", 0), ("m1", 1), ("m2", 0)]
+    assert {r.seq for r in out.collect()} <= {1, 2, 4, 6, 7}
+    assert first_per_day_stream(src).schema == src.schema
+
+
+def test_new_visitor_flags(spark):
+    rows = [page("m1", i, seq=i, is_new=f) for i, f in enumerate("1101")]
+    rows += [page("m2", i, seq=10 + i, is_new=f) for i, f in enumerate("01")]
+    rows += [page("m3", 5, seq=20 - i, is_new="1") for i in range(2)]
+    got = {r.seq: r.common.is_new for r in logs.correct_new_visitors(log_frame(spark, rows)).collect()}
+    assert got == {0: "1", 1: "0", 2: "0", 3: "0", 10: "0", 11: "1", 20: "0", 19: "1"}
+
+
+def first_marks(rows):
+    first = {}
+    for r in rows:
+        if r["is_new"] == "1":
+            k = (r["ts"], r["seq"])
+            first[r["mid"]] = min(first.get(r["mid"], k), k)
+    return {r["seq"]: "1" if first.get(r["mid"]) == (r["ts"], r["seq"]) else "0" for r in rows}
+
+
+def test_new_visitor_hot_key_batch_and_stream(spark, tmp_path):
+    rows = random_pages()
+    frame = log_frame(spark, rows)
+    want = first_marks(rows)
+    got = {r.seq: r.common.is_new for r in logs.correct_new_visitors(frame).collect()}
+    assert got == want
+    # the second micro-batch meets the flags of the first
+    cut = T0 + 60_000
+    src = feed(spark, frame, str(tmp_path / "in"), [f"ts < {cut}", f"ts >= {cut}"])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        fixed = logs.correct_new_visitors(src)
+        assert fixed.schema.names == frame.schema.names
+        out, _ = drain(spark, fixed, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {r.seq: r.common.is_new for r in out.collect()} == want
+    assert out.count() == len(rows)
+
+
+def test_log_split_and_displays(spark):
+    df = log_frame(spark, [page("m", i, seq=i) for i in range(5)])
+    two = F.array(*[F.struct(F.lit(x).alias("item"), F.lit("sku_id").alias("item_type"))
+                    for x in "ab"])
+    df = df.withColumn("start", F.when(F.col("seq") == 0, '{"e":1}').when(F.col("seq") == 1, ""))
+    df = df.withColumn("displays", F.when(F.col("seq") <= 2, two).when(
+        F.col("seq") == 3, F.array().cast("array<struct<item:string,item_type:string>>")))
+    assert [r.seq for r in logs.start_logs(df).collect()] == [0]
+    pages = logs.page_logs(df)
+    assert sorted(r.seq for r in pages.collect()) == [1, 2, 3, 4]
+    shown = logs.display_logs(pages)
+    assert shown.columns == ["item", "item_type", "page_id"] and shown.count() == 4
+    carried = logs.display_logs(pages, carry=("ts", F.col("common.mid").alias("mid")))
+    assert carried.columns == ["item", "item_type", "page_id", "ts", "mid"]
