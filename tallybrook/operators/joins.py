@@ -9,16 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallybrook.functions.times import int_div
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side has few rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000,
+                       max_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast only after measuring that the side is small.
 
-    The count stops at ``max_rows + 1`` rows.  A larger side gets no hint and
-    is left to the optimiser: statistics below the broadcast threshold, or a
-    shuffle join whose hot partitions AQE splits.
+    The check reads at most ``max_rows + 1`` rows.  A larger side gets no hint
+    and is left to the optimiser: statistics below the broadcast threshold, or
+    a shuffle join whose hot partitions AQE splits.
     """
     if df.isStreaming:
         return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    rows, octets = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    small = rows <= max_rows and (octets or 0) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def _seconds(ms: int) -> Column:

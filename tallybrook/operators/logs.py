@@ -37,7 +37,7 @@ def correct_new_visitors(logs: DataFrame, order: tuple[str, ...] = ("ts", "seq")
     )
     on = new["common.mid"] == first["_mid"]
     for c in order:
-        on = on & (new[c] == first[f"_o_{c}"])
+        on = on & new[c].eqNullSafe(first[f"_o_{c}"])
     fixed = new.join(first, on, "left").withColumn(
         "common",
         F.col("common").withField(

@@ -398,6 +398,17 @@ ORACLE: dict[str, str] = {
         select detail_id, order_id, sku_id, sku_num, create_time, split_total_amount,
                total_amount, province_id from wide""",
 }
+ORACLE["province_stats_sql"] = ORACLE["province_stats"]
+ORACLE["keyword_stats_sql"] = ORACLE["keyword_stats_search"]
+ORACLE["cdc_view_sql"] = f"""with {CHANGES}
+    select order_status, count(*) as n from (
+      select arg_max(new_status, seq) as order_status from feed
+      group by o_orderkey having arg_max(type, seq) <> 'delete')
+    group by order_status"""
+ORACLE["snapshot_and_changes"] = """
+    select cast(o_orderkey as varchar) as id,
+           case when o_orderkey % 3 = 0 then 'U' else o_orderstatus end as order_status
+    from orders where o_orderkey % 7 <> 0"""
 ORACLE["new_visitor_fix_stream"] = ORACLE["new_visitor_fix"]
 
 _PAGE_MS = "select ts as ms from pages"

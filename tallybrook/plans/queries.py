@@ -13,15 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallybrook.functions.codes import decode
 from tallybrook.functions.columns import camel_columns
 from tallybrook.functions.jsonlines import dirty_lines, good_lines, parse_log
-from tallybrook.functions.times import day_number, millis_time, stamp
-from tallybrook.functions.words import tokens
+from tallybrook.functions.times import (
+    age_years, create_parts, day_number, millis_time, parse_stamp, second_time, stamp,
+)
+from tallybrook.functions.words import register_split_words, tokens
 from tallybrook.operators import (
     changelog, envelope, joins, keywords, logs, reports, routing, stats, visits, wide,
 )
 from tallybrook.plans import derive
 from tallybrook.plans.derive import AS_OF_MS, DAY_MS
+from tallybrook.schemas import RULE
 from tallybrook.session import prepare, scratch
 from tallybrook.sinks import dims as dim_store, tables as result_tables
+from tallybrook.sources.changes import change_view, snapshot_then_changes
 from tallybrook.sources.files import result_table, table, table_stream
 from tallybrook.streaming.run import ONCE, start, start_batches
 
@@ -219,6 +223,23 @@ def province_stats(spark: SparkSession, folder: str) -> DataFrame:
     return doubles(stats.province_stats(rows, "1 day", as_of=AS_OF_MS))
 
 
+@query
+def province_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in SQL text over a view with a computed time column."""
+    rows = wide.enrich_province(
+        wide_rows(spark, folder, EVER), derive.dims(spark, folder)["DIM_BASE_PROVINCE"]
+    )
+    rows.withColumn("rt", parse_stamp("create_time")).createOrReplaceTempView("order_wide")
+    place = ("province_id, province_name, province_area_code, province_iso_code,"
+             " province_3166_2_code")
+    return doubles(spark.sql(f"""
+        select date_format(window.start, 'yyyy-MM-dd HH:mm:ss') as stt,
+               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') as edt, {place},
+               sum(split_total_amount) as order_amount,
+               count(distinct order_id) as order_count, bigint({AS_OF_MS}) as ts
+        from order_wide group by {place}, window(rt, '1 day')"""))
+
+
 def product_rows(spark: SparkSession, folder: str) -> DataFrame:
     events, lineitem = table(spark, folder, "events"), table(spark, folder, "lineitem")
     bought = wide_rows(spark, folder, EVER)
@@ -303,6 +324,23 @@ def keyword_stats_search(spark: SparkSession, folder: str) -> DataFrame:
     return keywords.keyword_stats(words, "1 day", as_of=AS_OF_MS)
 
 
+@query
+def keyword_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in SQL text, with the table function ``split_words``."""
+    register_split_words(spark)
+    log = searches(table(spark, folder, "events"), table(spark, folder, "part"))
+    log.select("page", second_time("ts").alias("rt")).createOrReplaceTempView("page_view")
+    return spark.sql(f"""
+        select word as keyword, count(*) as ct, 'search' as source,
+               date_format(window.start, 'yyyy-MM-dd HH:mm:ss') as stt,
+               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') as edt, bigint({AS_OF_MS}) as ts
+        from (select word, rt
+              from (select page.item as full_word, rt from page_view
+                    where page.last_page_id = 'search' and page.item is not null) t,
+                   lateral split_words(full_word)) w
+        group by word, window(rt, '1 day')""")
+
+
 @query
 def document_words(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -336,8 +374,6 @@ def rules(spark: SparkSession) -> DataFrame:
         ("order_info", "update", "hbase", "dim_order_status", "id, order_status", "id", None),
         ("customer", "update", "hbase", "dim_customer", "id", "id", None),
     ]
-    from tallybrook.schemas import RULE
-
     return spark.createDataFrame(rows, RULE)
 
 
@@ -373,6 +409,27 @@ def cdc_latest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def cdc_view_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """A change feed as a SQL table."""
+    change_view(spark, changes(spark, folder), ["id", "order_status", "user_id"], "order_binlog")
+    return spark.sql("select order_status, count(*) as n from order_binlog group by order_status")
+
+
+@query
+def snapshot_and_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders as a snapshot, then the feed's updates and deletes."""
+    o = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status")
+    )
+    later = changes(spark, folder).filter("type <> 'insert'")
+    every = snapshot_then_changes(o, later, "shop", "order_info", seq="seq")
+    state = changelog.latest_state(every, "id")
+    return state.select(
+        _field("row", "id").alias("id"), _field("row", "order_status").alias("order_status")
+    )
+
+
 @query
 def dim_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches into a customer dimension: all inserts, then updates that
@@ -402,8 +459,6 @@ def dim_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def scalar_functions(spark: SparkSession, folder: str) -> DataFrame:
     """Time, code and naming helpers over all orders."""
     o = derive.payment_info(table(spark, folder, "orders"))
-    from tallybrook.functions.times import age_years, create_parts
-
     day, hour, ts = create_parts("create_time")
     out = o.select(
         F.col("id").alias("order_id"),

@@ -59,6 +59,7 @@ def test_broadcast_is_checked(spark):
 
     assert hinted(broadcast_if_small(spark.range(10), 10))
     assert not hinted(broadcast_if_small(spark.range(11), 10))
+    assert not hinted(broadcast_if_small(spark.range(10), 10, max_bytes=50))
 
 
 def order(id_, at, **more):
