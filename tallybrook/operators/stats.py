@@ -11,7 +11,7 @@ from tallybrook.functions.codes import CODES
 from tallybrook.functions.times import millis_time, now_millis, parse_stamp, stamp, stamp_millis
 from tallybrook.operators.joins import dim_join
 from tallybrook.operators.logs import is_entry
-from tallybrook.schemas import MONEY_SUM, RESULT_COLUMNS
+from tallybrook.schemas import MONEY, MONEY_SUM, RESULT_COLUMNS
 
 WINDOW = "10 seconds"
 
@@ -96,7 +96,7 @@ _ID_KINDS = {"order_ct": "order", "paid_order_ct": "paid", "refund_order_ct": "r
 def _product_rows(df: DataFrame, ts: Column, sku: Column | None = None, kind: str | None = None,
                   id_: Column | None = None, **measures: Column) -> DataFrame:
     def amount(c: Column) -> Column:
-        return c.cast(MONEY_SUM)
+        return c.cast(MONEY)
 
     zero = F.lit(0).cast("bigint")
     return df.select(

@@ -147,35 +147,39 @@ def refund_info(lineitem: DataFrame) -> DataFrame:
 
 
 # -- dimensions --------------------------------------------------------------
-def dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    customer, part = table(spark, folder, "customer"), table(spark, folder, "part")
+def user_dim(customer: DataFrame) -> DataFrame:
+    key = F.col("c_custkey")
+    born = F.date_add(F.lit("1960-01-01").cast("date"), (key % 15000).cast("int"))
+    return customer.select(
+        text(key).alias("ID"),
+        F.when(key % 2 == 0, "F").otherwise("M").alias("GENDER"),
+        text(born).alias("BIRTHDAY"),
+    )
+
+
+def province_dim(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    supplier = table(spark, folder, "supplier")
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
+        text("n_nationkey").alias("ID"),
+        F.col("n_name").alias("NAME"),
+        F.col("r_name").alias("AREA_CODE"),
+        F.concat(F.lit("CN-"), text("n_nationkey")).alias("ISO_CODE"),
+        F.concat(F.lit("R-"), text("n_regionkey")).alias("ISO_3166_2"),
+    )
+
+
+def product_dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
     brand = F.regexp_extract("p_brand", "([0-9]+)", 1)
-    types = F.array(*[F.lit(t) for t in PART_TYPES])
-    born = F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int"))
+    kind = text(F.array_position(F.array(*[F.lit(t) for t in PART_TYPES]), F.col("p_type")))
     return {
-        "DIM_USER_INFO": customer.select(
-            text("c_custkey").alias("ID"),
-            F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("GENDER"),
-            text(born).alias("BIRTHDAY"),
-        ),
-        "DIM_BASE_PROVINCE": nation.join(
-            region, nation["n_regionkey"] == region["r_regionkey"], "left"
-        ).select(
-            text("n_nationkey").alias("ID"),
-            F.col("n_name").alias("NAME"),
-            F.col("r_name").alias("AREA_CODE"),
-            F.concat(F.lit("CN-"), text("n_nationkey")).alias("ISO_CODE"),
-            F.concat(F.lit("R-"), text("n_regionkey")).alias("ISO_3166_2"),
-        ),
         "DIM_SKU_INFO": part.select(
             text("p_partkey").alias("ID"),
             F.col("p_name").alias("SKU_NAME"),
             text(F.col("p_retailprice").cast(MONEY)).alias("PRICE"),
             text(F.col("p_size") * F.col("p_size")).alias("SPU_ID"),
             brand.alias("TM_ID"),
-            text(F.array_position(types, F.col("p_type"))).alias("CATEGORY3_ID"),
+            kind.alias("CATEGORY3_ID"),
         ),
         "DIM_SPU_INFO": supplier.select(
             text("s_suppkey").alias("ID"), F.col("s_name").alias("SPU_NAME")
@@ -184,12 +188,19 @@ def dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             brand.alias("ID"), F.col("p_brand").alias("TM_NAME")
         ),
         "DIM_BASE_CATEGORY3": part.select("p_type").distinct().select(
-            text(F.array_position(types, F.col("p_type"))).alias("ID"),
-            F.col("p_type").alias("NAME"),
+            kind.alias("ID"), F.col("p_type").alias("NAME")
         ),
     }
 
 
+def dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {
+        "DIM_USER_INFO": user_dim(table(spark, folder, "customer")),
+        "DIM_BASE_PROVINCE": province_dim(spark, folder),
+        **product_dims(spark, folder),
+    }
+
+
 # -- change feed -------------------------------------------------------------
 def order_changes_raw(orders: DataFrame) -> DataFrame:
     """Debezium-like JSON records: every order is created, each third one is

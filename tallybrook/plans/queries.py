@@ -217,18 +217,14 @@ def wide_merge(spark: SparkSession, folder: str) -> DataFrame:
 # -- statistics --------------------------------------------------------------
 @query
 def province_stats(spark: SparkSession, folder: str) -> DataFrame:
-    rows = wide.enrich_province(
-        wide_rows(spark, folder, EVER), derive.dims(spark, folder)["DIM_BASE_PROVINCE"]
-    )
+    rows = wide.enrich_province(wide_rows(spark, folder, EVER), derive.province_dim(spark, folder))
     return doubles(stats.province_stats(rows, "1 day", as_of=AS_OF_MS))
 
 
 @query
 def province_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
     """The same in SQL text over a view with a computed time column."""
-    rows = wide.enrich_province(
-        wide_rows(spark, folder, EVER), derive.dims(spark, folder)["DIM_BASE_PROVINCE"]
-    )
+    rows = wide.enrich_province(wide_rows(spark, folder, EVER), derive.province_dim(spark, folder))
     rows.withColumn("rt", parse_stamp("create_time")).createOrReplaceTempView("order_wide")
     place = ("province_id, province_name, province_area_code, province_iso_code,"
              " province_3166_2_code")
@@ -262,7 +258,9 @@ def product_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def product_stats(spark: SparkSession, folder: str) -> DataFrame:
     return doubles(
-        stats.product_stats(product_rows(spark, folder), derive.dims(spark, folder), "30 days")
+        stats.product_stats(
+            product_rows(spark, folder), derive.product_dims(spark, folder), "30 days"
+        )
     )
 
 
@@ -270,7 +268,7 @@ def daily_products(spark: SparkSession, folder: str) -> DataFrame:
     """The product table of the orders, one window per day.  A report's day
     filter sinks through both aggregates and the join to the order scan."""
     rows = stats.order_rows(wide_rows(spark, folder, EVER))
-    return stats.product_stats(rows, derive.dims(spark, folder), "1 day")
+    return stats.product_stats(rows, derive.product_dims(spark, folder), "1 day")
 
 
 @query
@@ -530,7 +528,7 @@ def product_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch(spark, "product_stats_stream")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flake = wide.snowflake(derive.dims(spark, folder))
+        flake = wide.snowflake(derive.product_dims(spark, folder))
         result_tables.write_result(
             stats.enrich_product_stats(batch, flake), out, "product_stats", batch_id
         )
@@ -559,6 +557,6 @@ def province_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     o = derive.order_info(table_stream(spark, folder, "orders"), table(spark, folder, "customer"))
     d = derive.order_detail(table_stream(spark, folder, "lineitem"))
     joined = wide.join_details(o, d, -MONTH, MONTH)
-    named = wide.enrich_province(joined, derive.dims(spark, folder)["DIM_BASE_PROVINCE"])
+    named = wide.enrich_province(joined, derive.province_dim(spark, folder))
     found = stats.province_stats(named, "30 days", time=F.col("_ot"), delay=None, as_of=AS_OF_MS)
     return doubles(drain(spark, found, "province_stats"))
