@@ -48,12 +48,12 @@ def test_now_millis(spark):
 
 
 def test_tokens(spark):
-    text = F.lit("Flink数据仓库视频教程 Spark4 好 数据")
+    text = F.lit("Kite数据仓库视频教程 Spark4 好 数据")
     got = sorted(one(spark, words.tokens(text)))
     run = "数据仓库视频教程"
-    want = ["flink", "spark4", "好", "数据", run] + [run[i:i + 2] for i in range(len(run) - 1)]
+    want = ["kite", "spark4", "好", "数据", run] + [run[i:i + 2] for i in range(len(run) - 1)]
     assert got == sorted(want)
-    assert sorted(words._python_tokens("Flink数据仓库视频教程 Spark4 好 数据")) == sorted(want)
+    assert sorted(words._python_tokens("Kite数据仓库视频教程 Spark4 好 数据")) == sorted(want)
     assert one(spark, words.tokens(F.lit(" -!"))) == []
 
 
