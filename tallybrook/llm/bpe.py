@@ -26,11 +26,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tallybrook.llm.common import sliced
+from tallybrook.llm.common import sliced, worker_cache
 
 END = 0x1000  # added to the code of a symbol that ends a word
 NEVER = 1 << 60
-SPACE = pa.scalar(" ", pa.large_string())
 LIMIT = 300_000
 
 
@@ -238,13 +237,8 @@ class _Known:
         )
 
 
-_KNOWN: dict[str, _Known] = {}
-
-
 def known(path: str) -> _Known:
-    if path not in _KNOWN:
-        _KNOWN[path] = _Known(path)
-    return _KNOWN[path]
+    return worker_cache(f"transducer {path}", lambda: _Known(path))
 
 
 def round_trip(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
@@ -274,7 +268,7 @@ def round_trip(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
             offsets = pa.array(np.searchsorted(kept, lists.offsets.to_numpy()), pa.int64())
             total = np.concatenate([[0], np.cumsum(counts[at])])[lists.offsets.to_numpy()]
             joined = [
-                pc.binary_join(pa.LargeListArray.from_arrays(offsets, part.take(pa.array(at[kept]))), SPACE)
+                pc.binary_join(pa.LargeListArray.from_arrays(offsets, part.take(pa.array(at[kept]))), pa.scalar(" ", pa.large_string()))
                 for part in (ids, shown)
             ]
             yield pa.RecordBatch.from_arrays(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+
+def worker_cache(key, make):
+    """What a Python worker keeps from task to task.  The functions of this package
+    travel to the workers by value, so module variables would be new in each task."""
+    kept = sys.modules.setdefault("_tallybrook_kept", ModuleType("_tallybrook_kept"))
+    if key not in kept.__dict__:
+        kept.__dict__[key] = make()
+    return kept.__dict__[key]
 
 
 class WordHashes(dict):
@@ -31,6 +40,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def word_hashes() -> WordHashes:
+    return worker_cache("word hashes", WordHashes)
+
+
 def split_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text; bytes split at just these."""
     return text.split() if text else []
@@ -39,7 +52,7 @@ def split_words(text: bytes | None) -> list[bytes]:
 def pack(table: pa.Table) -> bytes:
     """A table as compressed bytes, to travel as one value of a row."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=ZSTD) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, orc_ids, packing
+from tallybrook.llm import bpe, orc_ids, packing, substring_dedup
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -15,6 +16,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that stay of each document once repeated 20-word windows are cut."""
+    kept = substring_dedup.remove_repeats(documents(prepare(spark), sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
 def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens, one row per piece."""
     return packing.pack(documents(prepare(spark), sf_dir), tokenizer("word_bpe_49k.json"), ids=False)
@@ -34,7 +41,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_cost_packing, op8_orc_ids, op10_bpe_transducer)
+    for f in (op2_substring_dedup, op4_cost_packing, op8_orc_ids, op10_bpe_transducer)
 }
 
 ORACLE: dict[str, str] = {}

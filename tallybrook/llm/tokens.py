@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tallybrook.llm.common import worker_cache
+
 SEPARATOR = "<|endoftext|>"
 RAW = "\x01"  # marks a piece without a space before it
 LIMIT = 600_000
@@ -112,11 +114,6 @@ class Encoder:
         return ids, offsets
 
 
-_KEPT: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, kind: str) -> Encoder:
     """One encoder a worker process, so that what it knows serves later tasks."""
-    if (path, kind) not in _KEPT:
-        _KEPT[path, kind] = Encoder(path, kind)
-    return _KEPT[path, kind]
+    return worker_cache(f"encoder {kind} {path}", lambda: Encoder(path, kind))
