@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, orc_ids, packing, substring_dedup
+from tallybrook.llm import bpe, orc_ids, packing, quality, substring_dedup
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -27,6 +27,11 @@ def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(prepare(spark), sf_dir), tokenizer("word_bpe_49k.json"), ids=False)
 
 
+def op5_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict of all documents."""
+    return quality.judge(documents(prepare(spark), sf_dir)).drop("char_distance", "word_distance")
+
+
 def op8_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written as ORC and read back."""
     path = shared(prepare(spark), "orc-ids")
@@ -41,7 +46,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substring_dedup, op4_cost_packing, op8_orc_ids, op10_bpe_transducer)
+    for f in (op2_substring_dedup, op4_cost_packing, op5_distribution_rules, op8_orc_ids, op10_bpe_transducer)
 }
 
 ORACLE: dict[str, str] = {}
