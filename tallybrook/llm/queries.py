@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, orc_ids, packing, quality, substring_dedup
+from tallybrook.llm import bpe, orc_ids, packing, quality, substring_dedup, topk
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -22,6 +22,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector."""
+    vectors = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0).withColumn("rank", F.col("rank").cast("int"))
+
+
 def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens, one row per piece."""
     return packing.pack(documents(prepare(spark), sf_dir), tokenizer("word_bpe_49k.json"), ids=False)
@@ -46,7 +52,23 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substring_dedup, op4_cost_packing, op5_distribution_rules, op8_orc_ids, op10_bpe_transducer)
+    for f in (op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op8_orc_ids, op10_bpe_transducer)
 }
 
-ORACLE: dict[str, str] = {}
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op3_exact_top_k": OP3_SQL}
