@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, orc_ids, packing, quality, substring_dedup, topk
+from tallybrook.llm import bpe, line_dedup, orc_ids, packing, quality, substring_dedup, topk
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -38,6 +38,12 @@ def op5_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(prepare(spark), sf_dir)).drop("char_distance", "word_distance")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document once repeated runs of lines are cut."""
+    kept = line_dedup.remove_repeated_lines(documents(prepare(spark), sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written as ORC and read back."""
     path = shared(prepare(spark), "orc-ids")
@@ -52,7 +58,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op8_orc_ids, op10_bpe_transducer)
+    for f in (op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op7_line_dedup, op8_orc_ids, op10_bpe_transducer)
 }
 
 OP3_SQL = """

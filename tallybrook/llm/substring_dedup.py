@@ -26,16 +26,15 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tallybrook.llm.common import as_bytes, keyed, pack, sliced, split_words, spread, text_bytes, unpack, word_hashes
+from tallybrook.llm.common import as_bytes, keyed, pack, sliced, split_words, text_bytes, word_hashes
+from tallybrook.llm.exchange import NULL_ID, RUN_BYTES, grouped, keys, passing, text_rows, texts_and_places, to_bucket, to_groups
 
 BASE, SECOND = np.uint64(0x9E3779B97F4A7C15 | 3), np.uint64(0xC2B2AE3D27D4EB4F | 3)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
-NULL_ID = -(1 << 63)
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-RUN_BYTES, BUCKET_BYTES, GROUP_BYTES = 8 << 20, 16 << 20, 8 << 20
+BUCKET_BYTES, GROUP_BYTES = 16 << 20, 8 << 20
 NEW = [
     StructField("n_words", LongType()),
     StructField("n_removed", LongType()),
@@ -68,37 +67,13 @@ def _power(base: np.uint64, n: int) -> np.uint64:
     return np.uint64(pow(int(base), n, 1 << 64))
 
 
-def _places(doc: np.ndarray, n: np.ndarray, at: np.ndarray, group: int | None = None) -> bytes:
-    """Places packed small: in order they differ little from one to the next."""
-    return pack(pa.table({"doc": np.diff(doc, prepend=0), "n": n.astype(np.int32), "at": np.diff(at, prepend=0).astype(np.int32)}))
-
-
-def _grouped(doc: np.ndarray, n: np.ndarray, at: np.ndarray, groups: int) -> tuple[list[int], list[bytes]]:
-    """Places of removed windows, one packed value per group of documents."""
-    g = spread(doc, groups)
-    order = np.lexsort((at, n, doc, g))
-    g, doc, n, at = g[order], doc[order], n[order], at[order]
-    ends = np.append(np.flatnonzero(np.diff(g)) + 1, len(g)) if len(g) else []
-    ids, blobs, start = [], [], 0
-    for end in ends:
-        ids.append(int(g[start]))
-        blobs.append(_places(doc[start:end], n[start:end], at[start:end]))
-        start = end
-    return ids, blobs
-
-
-def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    doc = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-    return doc, batch.column("_n").to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 def _window_rows(width: int, buckets: int, groups: int):
-    """Rows (bucket, to_group, places): windows for a bucket, or (to_group not
+    """Rows (bucket, to_group, value): windows for a bucket, or (to_group not
     NULL) places already known to repeat within a run."""
 
     def rows(batches):
         for batch in sliced(batches, "text", RUN_BYTES):
-            doc, n = _keys(batch)
+            doc, n = keys(batch)
             order = np.lexsort((n, doc))
             texts = as_bytes(batch.column("text"))
             hashes = word_hashes()
@@ -120,8 +95,8 @@ def _window_rows(width: int, buckets: int, groups: int):
             same = (h[by_hash][1:] == h[by_hash][:-1]) & (second[by_hash][1:] == second[by_hash][:-1])
             again = np.zeros(len(h), bool)
             again[by_hash[1:][same]] = True
-            ids, blobs = _grouped(doc[again], n[again], at[again], groups)
-            yield _batch([i % buckets for i in ids], ids, blobs)
+            ids, blobs = grouped(doc[again], n[again], at[again], groups)
+            yield to_bucket([i % buckets for i in ids], ids, blobs)
             keep = np.flatnonzero(~again)
             keep = keep[np.argsort(bucket[keep], kind="stable")]
             b = bucket[keep]
@@ -132,27 +107,16 @@ def _window_rows(width: int, buckets: int, groups: int):
                 parts.append(
                     pack(pa.table({"h": h[k], "doc": np.diff(doc[k], prepend=0), "n": n[k].astype(np.int32), "at": np.diff(at[k], prepend=0).astype(np.int32)}))
                 )
-            yield _batch(b[starts].tolist(), [None] * len(parts), parts)
+            yield to_bucket(b[starts].tolist(), [None] * len(parts), parts)
 
     return rows
 
 
-def _batch(bucket: list, group: list, blobs: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket, pa.int32()), pa.array(group, pa.int32()), pa.array(blobs, pa.binary())],
-        names=["bucket", "to_group", "places"],
-    )
-
-
 def _repeats(groups: int):
     """Of one bucket's windows, the places of all but the earliest of each hash."""
 
     def find(rows: pa.Table) -> pa.Table:
-        bucket, to, blobs = rows.columns
-        passed = pa.compute.is_valid(to)
-        ids = to.filter(passed).to_pylist()
-        out = blobs.filter(passed).to_pylist()
-        parts = [unpack(b) for b in blobs.filter(pa.compute.invert(passed)).to_pylist()]
+        ids, out, parts = passing(rows)
         if parts:
             h = np.concatenate([p["h"].to_numpy() for p in parts])
             doc = np.concatenate([np.cumsum(p["doc"].to_numpy()) for p in parts])
@@ -166,58 +130,19 @@ def _repeats(groups: int):
             k = np.flatnonzero(several)
             k = k[np.lexsort((at[k], n[k], doc[k], h[k]))]
             k = k[1:][h[k][1:] == h[k][:-1]] if len(k) else k
-            more, places = _grouped(doc[k], n[k], at[k], groups)
+            more, places = grouped(doc[k], n[k], at[k], groups)
             ids, out = ids + more, out + places
-        return pa.table({"group": pa.array(ids, pa.int32()), "kind": pa.array([1] * len(ids), pa.int32()), "value": pa.array(out, pa.binary())})
+        return to_groups(ids, out)
 
     return find
 
 
-def _text_rows(groups: int):
-    """Whole rows packed by groups of documents."""
-
-    def rows(batches):
-        for batch in sliced(batches, "text", RUN_BYTES):
-            g = spread(_keys(batch)[0], groups)
-            order = np.argsort(g, kind="stable")
-            g = g[order]
-            ends = np.append(np.flatnonzero(np.diff(g)) + 1, len(g))
-            table = pa.Table.from_batches([batch]).take(pa.array(order))
-            starts = np.concatenate([[0], ends[:-1]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(g[starts]),
-                    pa.array([0] * len(starts), pa.int32()),
-                    pa.array([pack(table.slice(s, e - s)) for s, e in zip(starts.tolist(), ends.tolist())], pa.binary()),
-                ],
-                names=["group", "kind", "value"],
-            )
-
-    return rows
-
-
 def _cut(width: int, schema: StructType):
     """Cut the repeated windows out of the texts of a group."""
     names = [f.name for f in schema]
 
     def cut(rows: pa.Table) -> pa.Table:
-        kind = rows["kind"].to_numpy()
-        blobs = rows["value"].to_pylist()
-        # packed values of different runs may differ in how their strings are laid out
-        texts = pa.concat_tables([unpack(b) for b, k in zip(blobs, kind) if k == 0], promote_options="permissive")
-        gone = [unpack(b) for b, k in zip(blobs, kind) if k == 1]
-        at_of: dict[tuple[int, int], np.ndarray] = {}
-        if gone:
-            doc = np.concatenate([np.cumsum(p["doc"].to_numpy()) for p in gone])
-            n = np.concatenate([p["n"].to_numpy() for p in gone])
-            at = np.concatenate([np.cumsum(p["at"].to_numpy()) for p in gone])
-            order = np.lexsort((at, n, doc))
-            doc, n, at = doc[order], n[order], at[order]
-            ends = np.append(np.flatnonzero((np.diff(doc) != 0) | (np.diff(n) != 0)) + 1, len(doc))
-            start = 0
-            for end in ends.tolist():
-                at_of[int(doc[start]), int(n[start])] = at[start:end]
-                start = end
+        texts, at_of = texts_and_places(rows)
         out_text, kept, n_words, n_removed, removed = [], [], [], [], []
         ids = texts["doc_id"].cast(pa.int64()).fill_null(NULL_ID).to_pylist()
         for key, n, text in zip(ids, texts["_n"].to_pylist(), texts["text"].cast(pa.binary()).to_pylist()):
@@ -271,9 +196,9 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     schema = StructType([*docs.schema.fields, *NEW])
     found = (
         named.select("doc_id", "_n", "text")
-        .mapInArrow(_window_rows(width, buckets, groups), "bucket int, to_group int, places binary")
+        .mapInArrow(_window_rows(width, buckets, groups), "bucket int, to_group int, value binary")
         .groupBy("bucket")
         .applyInArrow(_repeats(groups), "group int, kind int, value binary")
     )
-    texts = named.mapInArrow(_text_rows(groups), "group int, kind int, value binary")
+    texts = named.mapInArrow(text_rows(groups), "group int, kind int, value binary")
     return texts.unionByName(found).groupBy("group").applyInArrow(_cut(width, schema), schema)
