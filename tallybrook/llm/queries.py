@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, line_dedup, orc_ids, packing, quality, substring_dedup, topk
+from tallybrook.llm import bpe, line_dedup, minhash, orc_ids, packing, quality, substring_dedup, topk, toxicity
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -16,6 +16,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of all documents, and whether it is too high."""
+    docs = documents(prepare(spark), sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that stay of each document once repeated 20-word windows are cut."""
     kept = substring_dedup.remove_repeats(documents(prepare(spark), sf_dir).select("doc_id", "text"))
@@ -51,6 +58,11 @@ def op8_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_ids.with_digest(orc_ids.read_ids(spark, path))
 
 
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document, and which one of it stays."""
+    return minhash.near_copies(documents(prepare(spark), sf_dir)).drop("_n")
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again, as digests."""
     return bpe.round_trip(documents(prepare(spark), sf_dir), tokenizer("word_bpe_49k.json"), digests=True)
@@ -58,7 +70,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op7_line_dedup, op8_orc_ids, op10_bpe_transducer)
+    for f in (op1_ordinal_toxicity, op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op7_line_dedup, op8_orc_ids, op9_dart_minhash, op10_bpe_transducer)
 }
 
 OP3_SQL = """

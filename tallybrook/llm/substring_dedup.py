@@ -49,7 +49,7 @@ def rolling(words: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
     n = len(words) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out, have, power = None, 0, base
+    out, have, power = None, 0, int(base)
     part, size = words, 1  # hashes of all windows of `size` words
     while width:
         if width & 1:
@@ -57,8 +57,8 @@ def rolling(words: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
             have += size
         width >>= 1
         if width:
-            part = part[:-size] * power + part[size:]
-            power = power * power
+            part = part[:-size] * np.uint64(power) + part[size:]
+            power = power * power & (1 << 64) - 1
             size *= 2
     return out[:n]
 
