@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, line_dedup, minhash, orc_ids, packing, quality, substring_dedup, topk, toxicity
+from tallybrook.llm import bpe, line_dedup, lm, minhash, orc_ids, packing, quality, substring_dedup, topk, toxicity
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -45,6 +45,11 @@ def op5_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(prepare(spark), sf_dir)).drop("char_distance", "word_distance")
 
 
+def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return lm.score(documents(prepare(spark), sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of each document once repeated runs of lines are cut."""
     kept = line_dedup.remove_repeated_lines(documents(prepare(spark), sf_dir).select("doc_id", "text"))
@@ -70,7 +75,7 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_ordinal_toxicity, op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op7_line_dedup, op8_orc_ids, op9_dart_minhash, op10_bpe_transducer)
+    for f in (op1_ordinal_toxicity, op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op6_maxent_lm, op7_line_dedup, op8_orc_ids, op9_dart_minhash, op10_bpe_transducer)
 }
 
 OP3_SQL = """
