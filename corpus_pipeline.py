@@ -1,13 +1,15 @@
 """The corpus pipeline: toxic documents, repeated lines, near copies, repeated
-passages, and packing.  Each stage works on all that the one before it kept."""
+passages, and packing.  Each stage works on all that the one before it kept, and
+all but the last return the columns of documents."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybrook.llm import packing
+from tallybrook.llm import line_dedup, minhash, packing, substring_dedup, toxicity
 from tallybrook.llm.common import documents, written
 from tallybrook.llm.queries import tokenizer
 from tallybrook.session import prepare
@@ -15,12 +17,49 @@ from tallybrook.session import prepare
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_text(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``; n_chars follows the text."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).filter("NOT toxic").select(*docs.columns)
+
+
+def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated runs of lines.  A document that was nothing
+    else goes; one that had no text before stays."""
+    cut = line_dedup.remove_repeated_lines(docs)
+    left = (F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^ \t-\r]")
+    return _with_text(cut.filter(left), docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return minhash.without_near_copies(docs).select(*docs.columns)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 20 words or more that occur earlier."""
+    return _with_text(substring_dedup.remove_repeats(docs), docs)
+
+
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens, one row per piece."""
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_lines),
+    ("near dedup", drop_near_copies),
+    ("substring dedup", cut_passages),
     ("packing", pack_tokens),
 ]
 

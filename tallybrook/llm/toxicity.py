@@ -6,8 +6,8 @@ serves all grades: the odds of a grade above j are those of x.w - theta_j, with
 ordered thresholds theta, so P(grade > j) = sigmoid(x.w - theta_j) and the
 expected severity is the sum of these over j.  Weights are not negative: a word
 can raise the severity, but clean words around an insult can't hide it.  An L1
-penalty keeps only words that matter, so a long clean text gathers no score
-from chance words.
+penalty keeps only words that matter, of those that toxic documents have far
+more often, so a long clean text gathers no score from chance words.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents
 of either class, the first by hash of doc_id, weighted to the classes' sizes.
@@ -33,8 +33,11 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField,
 from tallybrook.llm.common import as_bytes, sliced, split_words
 
 SAMPLE = 4_000  # labelled documents of either class
-MIN_DOCS = 8  # of the sample that have a feature
+MIN_DOCS = 5  # of the sample that have a feature
+MIN_RATIO = 20  # of its frequencies in toxic and other documents
+MIN_G2 = 20.0  # likelihood ratio from which a feature belongs to toxic documents
 GRADES = 4
+EVIDENCE = 0.75
 EDGES = "#*$%&|<>.,;:!?\"'()[]{}-_=+/\\"
 NEW = [
     StructField("severity", DoubleType()),
@@ -83,7 +86,7 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(z[:, None] - self.thresholds[None, :], -500, 500)))
 
 
-def fit_ordinal(rows: list[np.ndarray], n_features: int, grade: np.ndarray, weight: np.ndarray, penalty: float = 2e-4, steps: int = 200, rate: float = 1.5) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[np.ndarray], n_features: int, grade: np.ndarray, weight: np.ndarray, penalty: float = 2e-4, steps: int = 300, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Non-negative weights and thresholds for rows of feature numbers, by proximal
     AdaGrad."""
     k = int(grade.max()) + 1
@@ -118,6 +121,18 @@ def fit_ordinal(rows: list[np.ndarray], n_features: int, grade: np.ndarray, weig
     return w, theta
 
 
+def associated(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+    """Features found in enough documents, and so much more often in the first class
+    that the likelihood-ratio statistic leaves little room for chance."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        total = (a + b) / max(1, n_a + n_b)
+        g2 = 0.0
+        for x, n in ((a, n_a), (b, n_b)):
+            for seen, share in ((x, total), (n - x, 1 - total)):
+                g2 = g2 + 2 * np.where(seen > 0, seen * np.log(seen / (n * share)), 0.0)
+    return (a + b >= MIN_DOCS) & (a * n_b > MIN_RATIO * b * n_a) & (g2 >= MIN_G2)
+
+
 def severity_grades(rows: list[np.ndarray], n_features: int, toxic: np.ndarray, weight: np.ndarray, grades: int = GRADES) -> np.ndarray:
     """Ordered grades where labels only say toxic or not: 0 if not; else by how
     many of a document's features are typical of toxic ones (nine times in ten),
@@ -153,9 +168,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     toxic, x = got["y"].to_numpy(), got["x"].combine_chunks()
     values = x.flatten().to_numpy()
     names, number, count = np.unique(values, return_inverse=True, return_counts=True)
-    often = count >= MIN_DOCS
-    new = np.cumsum(often) - 1
     ends = x.offsets.to_numpy() - x.offsets[0].as_py()
+    in_toxic = np.bincount(number, np.repeat(toxic, np.diff(ends)), len(names))
+    often = associated(in_toxic, count - in_toxic, int(toxic.sum()), int((toxic == 0).sum()))
+    new = np.cumsum(often) - 1
     rows = [new[n[often[n]]] for n in (number[a:b] for a, b in zip(ends[:-1], ends[1:]))]
     if not len(toxic) or len(set(toxic.tolist())) < 2 or not often.any():
         return Ordinal()
@@ -166,10 +182,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     return Ordinal(dict(zip(names[often][used].tolist(), w[used].tolist())), theta)
 
 
-def score(docs: DataFrame, model: Ordinal, reject_from: float = 0.08) -> DataFrame:
+def score(docs: DataFrame, model: Ordinal, evidence: float = EVIDENCE) -> DataFrame:
     """The input's columns with severity (expected grade), toxic_probability
-    (P(grade > 0)), grade (the most likely) and toxic (probability from
-    ``reject_from`` on)."""
+    (P(grade > 0)), grade (the most likely) and toxic: its words raise the
+    log odds by ``evidence`` or more over those of a text without features.
+    That depends little on how many of the labelled documents are toxic."""
     new = [f.name for f in NEW]
     docs = docs.select(*[c for c in docs.columns if c not in new])
     names = docs.columns
@@ -188,7 +205,7 @@ def score(docs: DataFrame, model: Ordinal, reject_from: float = 0.08) -> DataFra
                     pa.array(above.sum(1)),
                     pa.array(above[:, 0]),
                     pa.array(each.argmax(1).astype(np.int32)),
-                    pa.array(above[:, 0] >= reject_from),
+                    pa.array(z >= evidence),
                 ],
                 names=[*names, *new],
             )
