@@ -11,10 +11,13 @@ similarity.  Regions are thrown in order of rank until all coordinates of a
 document have a dart, so the work follows its number of shingles.
 
 Documents with equal words form a class, of which one takes part.  Bands of
-coordinates give buckets; in a bucket every member is paired with the smallest
-one, never with all others, and pairs are checked by exact similarity.  What is
+coordinates give buckets; in a bucket every member is paired with the one that
+shares most with others, never with all, and pairs are checked by exact
+similarity.  What is
 still apart after that but shares a bucket is paired across the groups found so
-far and checked in the same way, so no pair of a bucket is lost.  Links make
+far, but for pairs whose shingle counts by parts of the hash space rule out
+that they are similar, and checked in the same way: no link in a bucket is
+lost.  Links make
 groups by connected components; all of it stays in tables.
 
 Documents of fewer than five words have one shingle, of all their words; those
@@ -36,6 +39,7 @@ from tallybrook.llm.substring_dedup import rolling
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
 BASE = np.uint64(0x9E3779B97F4A7C15 | 3)
+PARTS = 256
 SMALLEST = 0.25  # rank of the first regions
 MANY = 1 << 20  # darts of one step
 
@@ -118,13 +122,17 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, _n, hi and lo (128-bit hash of the words), bands (NULL without words)."""
+    """doc_id, _n, hi and lo (128-bit hash of the words), bands (NULL without
+    words) and parts (shingles in each of 256 parts of the hash space)."""
 
     def make(batches):
         for batch in sliced(batches, "text", 4 << 20):
             owner, element, weight, joined = shingles(as_bytes(batch.column("text")))
             present = np.unique(owner)
             values = [None] * batch.num_rows
+            # shingles of each part of the hash space
+            counts = np.bincount(owner * PARTS + (element >> np.uint64(56)).astype(np.int64), weight, batch.num_rows * PARTS)
+            counts = counts.astype(np.int32).reshape(-1, PARTS)
             if len(present):
                 signature = sketch(np.searchsorted(present, owner), element, weight, len(present), bands * rows)
                 # the low halves are hashes of the darts, the ranks add nothing
@@ -142,12 +150,13 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                     pa.array(np.array([d >> 64 for d in digests], np.uint64).view(np.int64)),
                     pa.array(np.array([d & (1 << 64) - 1 for d in digests], np.uint64).view(np.int64)),
                     pa.array(values, pa.list_(pa.int64())),
+                    pa.array(list(counts), pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "_n", "hi", "lo", "bands"],
+                names=["doc_id", "_n", "hi", "lo", "bands", "parts"],
             )
 
     key = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "_n", "text").mapInArrow(make, f"doc_id {key}, _n int, hi bigint, lo bigint, bands array<bigint>")
+    return docs.select("doc_id", "_n", "text").mapInArrow(make, f"doc_id {key}, _n int, hi bigint, lo bigint, bands array<bigint>, parts array<int>")
 
 
 def _similar(threshold: float):
@@ -225,8 +234,14 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     member = written(same.select("uid", "hi", "lo").join(first, ["hi", "lo"]).select("uid", "rep"), "members")
     reps = member.filter("uid = rep").select("uid")
     slots = ids.join(reps, "uid", "left_semi").select("uid", F.posexplode("bands").alias("band", "h"))
-    leader = slots.groupBy("band", "h").agg(F.min("uid").alias("b"), F.count("*").alias("n")).filter("n > 1").select("band", "h", "b")
-    shared = written(slots.join(leader, ["band", "h"]).select("band", "h", "uid", "b"), "buckets")
+    size = slots.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(slots.join(size, ["band", "h"]).select("band", "h", "uid", "n"), "buckets")
+    # the text that others were copied from shares buckets with more of them than
+    # any copy does, so it leads; equal ones are told apart by hash
+    weight = shared.groupBy("uid").agg((F.sum("n") * (1 << 20) + F.pmod(F.xxhash64("uid"), F.lit(1 << 20))).alias("weight"))
+    weighted = shared.join(weight, "uid")
+    leader = weighted.groupBy("band", "h").agg(F.max_by("uid", "weight").alias("b"))
+    shared = written(shared.join(leader, ["band", "h"]).select("band", "h", "uid", "b"), "led")
     tried = shared.filter("uid <> b").select(F.col("uid").alias("a"), "b").distinct()
     edges = links(tried, ids, named, similarity)
     label = components(reps, edges)
@@ -235,12 +250,28 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     split = labelled.groupBy("band", "h").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("band", "h")
     apart = written(labelled.join(split, ["band", "h"], "left_semi"), "apart")
     if not apart.limit(1).isEmpty():
+        # two texts share no more than the smaller count of each part: pairs that
+        # can't be similar by that bound are left out, and no others
+        total = F.aggregate("parts", F.lit(0), lambda t, v: t + v)
+        apart = apart.join(ids.select("uid", "bands", "parts", total.alias("total")), "uid")
         x, y = apart.alias("x"), apart.alias("y")
+        most = F.aggregate(F.zip_with("x.parts", "y.parts", lambda a, b: F.least(a, b)), F.lit(0), lambda t, v: t + v)
+        shared_first = F.array_position(F.zip_with("x.bands", "y.bands", lambda a, b: a == b), True) - 1
+        low, high = F.least("x.total", "y.total"), F.greatest("x.total", "y.total")
         cross = (
-            x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.uid") > F.col("y.uid")) & (F.col("x.label") != F.col("y.label")))
-            .filter(F.col("y.uid") != F.col("x.b"))
+            x.join(
+                y,
+                (F.col("x.band") == F.col("y.band"))
+                & (F.col("x.h") == F.col("y.h"))
+                & (F.col("x.uid") > F.col("y.uid"))
+                & (F.col("x.label") != F.col("y.label"))
+                & (F.col("y.uid") != F.col("x.b"))
+                & (F.col("x.uid") != F.col("y.b"))
+                & (low >= high * similarity)
+                & (F.col("x.band") == shared_first)  # a pair is looked at in one bucket only
+                & (most * (1 + similarity) >= (low + high) * similarity),
+            )
             .select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
-            .distinct()
         )
         more = links(cross, ids, named, similarity)
         label = components(reps, edges.unionByName(more))
