@@ -2,13 +2,15 @@
 
 Words are lower-cased in A-Z only.  The most frequent words of the training
 documents, the end of a text among them, are the vocabulary; they are dealt to
-classes of equal size by frequency.  The probability of a word is that of its
-class times that of the word in its class, two softmaxes of a few dozen terms
-each.  Their scores are sums of weights of three features of the history: the
-word before (bigram), the two before (trigram) and the one before the last
-(skip).  Features are hashed to a fixed number of rows, for the words of a
-class together with the class.  All other words share one place of the
-vocabulary; among them a word has its smoothed share of training counts.
+classes of equal size by frequency; all other words are one class.  The
+probability of a word is that of its class times that of the word in its class,
+two softmaxes of a few dozen terms each.  Their scores are sums of weights of
+three features of the history: the word before (bigram), the two before
+(trigram) and the one before the last (skip), rare words counting as one.
+Features are hashed to a fixed number of rows, for the words of a class
+together with the class.  Among the other words, a word has its smoothed share
+of training counts.  A batch looks at each history it has once, however often it
+occurs.
 
 Training passes over all training documents once.  Each task makes AdaGrad steps
 over its own, and the tasks' weights are averaged in blocks of rows, weighted by
@@ -25,16 +27,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import as_bytes, pack, sliced, text_bytes, unpack, worker_cache, written
+from tallybrook.llm.common import pack, sliced, text_bytes, unpack, written
 
 CLASSES = 32  # classes of the vocabulary, and words of a class
 ROWS = 1 << 15  # hashed rows of features, for classes and for words
-RARE, RATE, STEP = 0, 0.1, 4096
+RARE, RATE, STEP = 0, 0.1, 1 << 15
+BLANK = CLASSES * CLASSES  # stands before a text
 END = b""  # no word is empty
 RUN_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
 K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -45,36 +49,25 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def lowered(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []  # bytes: A-Z only
-
-
 def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) >> 1
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = self[word] = word_hash(word)
-        return h
-
-
-def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of some texts, an end after each text, and how many
-    tokens each has."""
-    known = worker_cache("lowered word hashes", _Hashes)
-    end = word_hash(END)
-    parts, sizes = [], []
-    for t in texts:
-        w = lowered(t)
-        h = np.empty(len(w) + 1, np.int64)
-        h[:-1] = np.fromiter(map(known.__getitem__, w), np.int64, len(w))
-        h[-1] = end
-        parts.append(h)
-        sizes.append(len(h))
-    return (np.concatenate(parts) if parts else np.empty(0, np.int64)), np.array(sizes, np.int64)
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of some texts, the end among them; all tokens
+    as places in that list, an end after each text; how many tokens each has."""
+    low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    lists = pc.ascii_split_whitespace(low)  # just the ASCII white space
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    place, at = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    if END in words:  # white space at an end of a text leaves an empty string
+        full = place != words.index(END)
+        at = np.concatenate([[0], np.cumsum(full)])[at]
+        place = place[full]
+    words.append(END)
+    place = np.insert(place.astype(np.int64), at[1:], len(words) - 1)
+    return np.fromiter(map(word_hash, words), np.int64, len(words)), place, np.diff(at).astype(np.int64) + 1
 
 
 # -- counts -----------------------------------------------------------------
@@ -94,12 +87,11 @@ def runs_of(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(rows, "run bigint, value binary"), "runs")
 
 
-def _open(value: bytes) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """ids, held-out flags, token hashes and sizes of a run."""
+def _open(value: bytes) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, held-out flags, and tokens_of the texts of a run."""
     table = unpack(value)
     ids = table["doc_id"].to_pylist()
-    tokens, sizes = tokens_of(as_bytes(table["text"].combine_chunks()))
-    return ids, np.array([held_out(i) for i in ids], bool), tokens, sizes
+    return ids, np.array([held_out(i) for i in ids], bool), *tokens_of(table["text"].combine_chunks())
 
 
 def _requests(buckets: int):
@@ -108,9 +100,10 @@ def _requests(buckets: int):
     def rows(batches):
         for batch in batches:
             for run, value in zip(batch.column("run").to_pylist(), batch.column("value").to_pylist()):
-                _, out, tokens, sizes = _open(value)
-                words, number = np.unique(tokens, return_inverse=True)
-                count = np.bincount(number, np.repeat(~out, sizes), len(words)).astype(np.int64)
+                _, out, words, place, sizes = _open(value)
+                count = np.bincount(place, np.repeat(~out, sizes), len(words)).astype(np.int64)
+                words, number = np.unique(words, return_inverse=True)  # the end comes twice if it was a word
+                count = np.bincount(number, count, len(words)).astype(np.int64)
                 bucket = (words.astype(np.uint64) * K[0] >> np.uint64(40)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -159,30 +152,35 @@ def _best(rows: pa.Table) -> pa.Table:
 
 
 class Vocabulary:
-    """Frequent words by number (0: all others), from descending counts."""
+    """Numbers of the frequent words, given by descending count: class times
+    CLASSES plus place, from class 1 on.  All others are RARE, in class 0."""
 
     def __init__(self, words: np.ndarray):
-        self.words = np.sort(words)
-        number = np.argsort(np.argsort(words))  # of the sorted words, by rank
-        self.number = np.empty(len(words), np.int64)
-        self.number[number] = 1 + np.arange(len(words))
+        order = np.argsort(words)
+        self.words, self.number = words[order], CLASSES + order
 
-    def of(self, tokens: np.ndarray) -> np.ndarray:
+    def of(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, self.number[at], RARE)
-
-
-def history(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Hashed features (n x 3) of what stands before each token: the word before,
-    the two before, the one before the last; texts begin with two blanks."""
-    ends = np.cumsum(sizes)
-    before = np.concatenate([[0], tokens[:-1]]).astype(np.uint64)
-    before[ends[:-1]] = 0
-    two = np.concatenate([[0], before[:-1]]).astype(np.uint64)
-    two[np.concatenate([[0], ends[:-1]])[: len(sizes)]] = 1
-    x = np.stack([before * K[0], (before * K[1] ^ (two * K[2] << np.uint64(7))) * K[0], two * K[2]], 1)
+            return np.full(len(words), RARE)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.number[at], RARE)
+
+
+def history(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The two numbers before each token, as one; texts begin with blanks."""
+    starts = np.cumsum(sizes) - sizes
+    one = np.concatenate([[BLANK], numbers[:-1]])
+    one[starts] = BLANK
+    two = np.concatenate([[BLANK], one[:-1]])
+    two[starts] = BLANK
+    return one * (BLANK + 1) + two
+
+
+def features(before: np.ndarray) -> np.ndarray:
+    """Hashes of the features (n x 3) of histories: the word before, both, the one
+    before the last."""
+    one, two = (x.astype(np.uint64) for x in np.divmod(before, BLANK + 1))
+    x = np.stack([one * K[0], (one * K[1] ^ (two * K[2] << np.uint64(7))) * K[0], two * K[2]], 1)
     return x ^ (x >> np.uint64(29))
 
 
@@ -208,21 +206,35 @@ class Model:
         self.classes = np.zeros((ROWS + 1, CLASSES), np.float32) if classes is None else classes
         self.words = np.zeros((ROWS + CLASSES, CLASSES), np.float32) if words is None else words
 
-    def terms(self, x: np.ndarray, word: np.ndarray):
+    def terms(self, before: np.ndarray, word: np.ndarray):
+        """Distinct histories with their distribution of classes, and distinct pairs
+        of history and class (not 0) with that of the class's words; for both,
+        which one a token belongs to."""
+        seen, which = np.unique(before, return_inverse=True)
         cls, place = word // CLASSES, word % CLASSES
-        a, b = rows_of(x, cls)
-        a = np.concatenate([a, np.full((len(a), 1), ROWS)], 1)
-        b = np.concatenate([b, (ROWS + cls)[:, None]], 1)
-        p = _softmax(sum(self.classes[a[:, i]] for i in range(4)))
-        q = _softmax(sum(self.words[b[:, i]] for i in range(4)))
-        return cls, place, a, b, p, q
-
-    def log10(self, x: np.ndarray, word: np.ndarray) -> np.ndarray:
+        common = np.flatnonzero(cls)
+        pairs, pair = np.unique(which[common] * CLASSES + cls[common], return_inverse=True)
+        x, of = features(seen), pairs % CLASSES
+        a = np.concatenate([rows_of(x, np.zeros(len(x), np.int64))[0], np.full((len(x), 1), ROWS)], 1)
+        b = np.concatenate([rows_of(x[pairs // CLASSES], of)[1], (ROWS + of)[:, None]], 1)
+        p = _softmax(self._sum(self.classes, a))
+        q = _softmax(self._sum(self.words, b))
+        return which, cls, a, p, common, pair, place[common], b, q
+
+    @staticmethod
+    def _sum(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = weights[rows[:, 0]]
+        for i in range(1, rows.shape[1]):
+            out += weights[rows[:, i]]
+        return out
+
+    def log10(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty(len(word))
         for i in range(0, len(word), STEP):
-            cls, place, _, _, p, q = self.terms(x[i : i + STEP], word[i : i + STEP])
-            n = np.arange(len(cls))
-            out[i : i + STEP] = np.log10(np.maximum(p[n, cls].astype(float) * q[n, place], 1e-30))
+            which, cls, _, p, common, pair, place, _, q = self.terms(before[i : i + STEP], word[i : i + STEP])
+            part = np.log10(np.maximum(p[which, cls], 1e-20)).astype(float)
+            part[common] += np.log10(np.maximum(q[pair, place], 1e-20))
+            out[i : i + STEP] = part
         return out
 
 
@@ -232,14 +244,18 @@ class Trainer(Model):
         self.g_classes = np.full(self.classes.shape[0], 1e-3, np.float32)
         self.g_words = np.full(self.words.shape[0], 1e-3, np.float32)
 
-    def learn(self, x: np.ndarray, word: np.ndarray) -> None:
+    def learn(self, before: np.ndarray, word: np.ndarray) -> None:
         for i in range(0, len(word), STEP):
-            cls, place, a, b, p, q = self.terms(x[i : i + STEP], word[i : i + STEP])
-            n = np.arange(len(cls))
-            p[n, cls] -= 1
-            q[n, place] -= 1
-            self._step(self.classes, self.g_classes, a, p)
-            self._step(self.words, self.g_words, b, q)
+            which, cls, a, p, common, pair, place, b, q = self.terms(before[i : i + STEP], word[i : i + STEP])
+            for weights, sums, rows, chance, of, target in (
+                (self.classes, self.g_classes, a, p, which, cls),
+                (self.words, self.g_words, b, q, pair, place),
+            ):
+                if len(rows):
+                    n = np.bincount(of, minlength=len(rows)).astype(np.float32)
+                    chance *= n[:, None]
+                    chance -= np.bincount(of * CLASSES + target, minlength=len(rows) * CLASSES).reshape(-1, CLASSES)
+                    self._step(weights, sums, rows, chance)
 
     @staticmethod
     def _step(weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
@@ -261,12 +277,11 @@ def _train(vocabulary: Vocabulary, blocks: int):
         model, n = Trainer(), 0
         for batch in batches:
             for value in batch.column("value").to_pylist():
-                _, out, tokens, sizes = _open(value)
+                _, out, words, place, sizes = _open(value)
+                numbers = vocabulary.of(words)[place]
                 use = np.repeat(~out, sizes)
-                x = history(tokens, sizes)[use]
-                word = vocabulary.of(tokens[use])
-                model.learn(x, word)
-                n += len(word)
+                model.learn(history(numbers, sizes)[use], numbers[use])
+                n += int(use.sum())
         if n:
             both = np.concatenate([model.classes, model.words]).astype(np.float16)
             parts = np.array_split(both, blocks)
@@ -297,12 +312,12 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, n_rare: int, v_
         count = np.concatenate([p["n"].to_numpy() for p in parts])
         order = np.argsort(word)
         word, count = word[order], count[order]
-        ids, out, tokens, sizes = _open(next(b for b, k in zip(values, kinds) if k == 0))
-        c = count[np.searchsorted(word, tokens)]
+        ids, out, words, place, sizes = _open(next(b for b, k in zip(values, kinds) if k == 0))
+        c = count[np.searchsorted(word, words)][place]
         first = np.cumsum(sizes) - sizes
         add = lambda a: np.add.reduceat(a, first)  # noqa: E731  every text has its end
-        number = vocabulary.of(tokens)
-        own = model.log10(history(tokens, sizes), number)
+        number = vocabulary.of(words)[place]
+        own = model.log10(history(number, sizes), number)
         own = own + np.where(number == RARE, np.log10((c + 1) / (n_rare + v_rare + 1)), 0.0)
         return pa.table(
             {
@@ -329,7 +344,7 @@ def score(docs: DataFrame) -> DataFrame:
     # at most 1024 words and one row of totals from each bucket
     best = written(by_bucket.applyInArrow(_best, "word bigint, n bigint, v bigint"), "frequent")
     n, v = best.filter("word = -1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).head()
-    top = best.filter("word >= 0").orderBy(F.desc("n"), "word").limit(CLASSES * CLASSES - 1).toArrow()
+    top = best.filter("word >= 0").orderBy(F.desc("n"), "word").limit(CLASSES * (CLASSES - 1)).toArrow()
     end = word_hash(END)
     frequent = top["word"].to_numpy()
     if len(frequent) and end not in frequent:
