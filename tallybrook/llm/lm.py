@@ -243,10 +243,16 @@ class Trainer(Model):
         super().__init__()
         self.g_classes = np.full(self.classes.shape[0], 1e-3, np.float32)
         self.g_words = np.full(self.words.shape[0], 1e-3, np.float32)
+        self.seen = 0
 
     def learn(self, before: np.ndarray, word: np.ndarray) -> None:
-        for i in range(0, len(word), STEP):
-            which, cls, a, p, common, pair, place, b, q = self.terms(before[i : i + STEP], word[i : i + STEP])
+        """Steps over batches that grow with what has been seen: early steps are
+        small and many, later ones share more work."""
+        i = 0
+        while i < len(word):
+            step = min(STEP, max(1024, self.seen // 16))
+            which, cls, a, p, common, pair, place, b, q = self.terms(before[i : i + step], word[i : i + step])
+            i, self.seen = i + step, self.seen + step
             for weights, sums, rows, chance, of, target in (
                 (self.classes, self.g_classes, a, p, which, cls),
                 (self.words, self.g_words, b, q, pair, place),
