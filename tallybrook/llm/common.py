@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 from types import ModuleType
@@ -26,7 +29,7 @@ def worker_cache(key, make):
 class WordHashes(dict):
     """64-bit hash of each word met, kept between calls and emptied when full."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -75,6 +78,16 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a task: workers live on,
+    and what they hold counts beside the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def byte_lengths(texts: pa.Array) -> np.ndarray:

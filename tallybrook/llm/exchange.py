@@ -11,10 +11,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallybrook.llm.common import pack, sliced, spread, unpack
+from tallybrook.llm.common import give_back, pack, sliced, spread, unpack
 
 NULL_ID = -(1 << 63)
-RUN_BYTES = 8 << 20
+RUN_BYTES = 4 << 20
 
 
 def places(doc: np.ndarray, n: np.ndarray, at: np.ndarray) -> bytes:
@@ -97,6 +97,7 @@ def texts_and_places(rows: pa.Table) -> tuple[pa.Table, dict[tuple[int, int], np
     """Of a group's rows: its documents, and the sorted positions found for each."""
     kind, blobs = rows["kind"].to_pylist(), rows["value"].to_pylist()
     # values of different runs may differ in how their strings are laid out
+    give_back()
     texts = pa.concat_tables([unpack(b) for b, k in zip(blobs, kind) if k == 0], promote_options="permissive")
     found = [unpack(b) for b, k in zip(blobs, kind) if k == 1]
     at_of: dict[tuple[int, int], np.ndarray] = {}

@@ -28,7 +28,7 @@ from tallybrook.llm.exchange import NULL_ID, RUN_BYTES, grouped, keys, passing,
 
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-BUCKET_BYTES, GROUP_BYTES = 8 << 20, 8 << 20
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 4 << 20
 NEW = [StructField("n_lines", LongType()), StructField("n_removed_lines", LongType())]
 
 

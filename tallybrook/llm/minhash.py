@@ -41,7 +41,7 @@ BANDS, ROWS = 28, 6
 BASE = np.uint64(0x9E3779B97F4A7C15 | 3)
 PARTS = 256
 SMALLEST = 0.25  # rank of the first regions
-MANY = 1 << 20  # darts of one step
+MANY = 1 << 19  # darts of one step
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -126,7 +126,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     words) and parts (shingles in each of 256 parts of the hash space)."""
 
     def make(batches):
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text", 2 << 20):
             owner, element, weight, joined = shingles(as_bytes(batch.column("text")))
             present = np.unique(owner)
             values = [None] * batch.num_rows
@@ -169,7 +169,7 @@ def _similar(threshold: float):
 
     def check(batches):
         b_id, b = None, None
-        for batch in sliced(batches, "text", 8 << 20):
+        for batch in sliced(batches, "text", 2 << 20):
             out = []
             for to, a, text in zip(batch.column("b").to_pylist(), batch.column("a").to_pylist(), as_bytes(batch.column("text"))):
                 if a is None:

@@ -27,7 +27,7 @@ from tallybrook.llm.common import sliced
 from tallybrook.llm.tokens import encoder
 
 SCHEMA = "start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-RUN_BYTES = 8 << 20
+RUN_BYTES = 6 << 20
 
 
 def assign(lengths: np.ndarray, size: int, linear: float = 1.0, quadratic: float = 1 / 1024, tail: bool = True) -> np.ndarray:

@@ -34,7 +34,7 @@ from tallybrook.llm.exchange import NULL_ID, RUN_BYTES, grouped, keys, passing,
 BASE, SECOND = np.uint64(0x9E3779B97F4A7C15 | 3), np.uint64(0xC2B2AE3D27D4EB4F | 3)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-BUCKET_BYTES, GROUP_BYTES = 16 << 20, 8 << 20
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 4 << 20
 NEW = [
     StructField("n_words", LongType()),
     StructField("n_removed", LongType()),

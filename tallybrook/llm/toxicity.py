@@ -57,7 +57,7 @@ def word_features(word: bytes) -> tuple[int, ...]:
 class Features(dict):
     """Features of each word met, of those in ``known`` if given."""
 
-    def __init__(self, known: dict[int, int] | None = None, limit: int = 300_000):
+    def __init__(self, known: dict[int, int] | None = None, limit: int = 150_000):
         super().__init__()
         self.known, self.limit = known, limit
 
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: Ordinal, evidence: float = EVIDENCE) -> DataFr
 
     def rate(batches):
         of = Features(number)
-        for batch in sliced(batches, "text", 8 << 20):
+        for batch in sliced(batches, "text", 4 << 20):
             z = np.array([weight[list(of.of(t)) or [-1]].sum() if t else 0.0 for t in as_bytes(batch.column("text"))])
             above = model.above(z)
             each = -np.diff(np.concatenate([np.ones((len(z), 1)), above, np.zeros((len(z), 1))], 1), axis=1)
