@@ -42,12 +42,24 @@ def read_json(df: DataFrame, schema: T.StructType, value: str = "value",
     pushed below the projection and parse every line a second time.
     """
     text = F.trim(F.col(value))
-    whole = F.when(F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}")), F.col(value))
+    whole = F.when(
+        F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+        & one_value(F.col(value)),
+        F.col(value),
+    )
     parsed = F.from_json(whole, _relaxed(schema))
     once = df.select(*keep, F.explode(F.array(parsed)).alias("_j"))
     return once.select(*keep, _typed(F.col("_j"), schema).alias("j"))
 
 
+def one_value(text: Column) -> Column:
+    """Whether a text is one JSON value with nothing behind it.  Parsers stop after
+    the first value, so the text is read as an array of one element."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    nth = lambda n: F.try_variant_get(listed, f"$[{n}]", "variant")
+    return nth(0).isNotNull() & nth(1).isNull()
+
+
 def strict(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Parse; a malformed line fails the job."""
     parsed = F.from_json(F.col(value), schema, {"mode": "FAILFAST"})
@@ -67,12 +79,12 @@ def parse_log(lines: DataFrame, value: str = "value", schema: T.StructType = LOG
               keep: tuple[str, ...] = ()) -> DataFrame:
     """Log lines to typed log rows plus ``raw`` and the flag ``dirty``.
 
-    Dirty is whatever cannot be keyed: no JSON object, an empty line, or no
-    ``common.mid``.
+    Dirty is whatever cannot be keyed or timed: no JSON object or more than one,
+    an empty line, no ``common.mid``, or no whole number in ``ts``.
     """
     named = lines.select(F.col(value).alias("raw"), *keep)
     return read_json(named, schema, "raw", ("raw", *keep)).select(
-        "raw", "j.*", *keep, F.col("j.common.mid").isNull().alias("dirty")
+        "raw", "j.*", *keep, (F.col("j.common.mid").isNull() | F.col("j.ts").isNull()).alias("dirty")
     )
 
 

@@ -47,6 +47,36 @@ def correct_new_visitors(logs: DataFrame, order: tuple[str, ...] = ("ts", "seq")
     return rest.unionByName(fixed.select(*logs.columns))
 
 
+def full_record(raw: Column | str, is_new: Column, seq: Column) -> Column:
+    """The JSON text of a whole log record, known fields or not, with the corrected
+    ``common.is_new`` and the row's ``seq``."""
+    record = F.from_json(raw, "map<string,variant>")
+    common = F.from_json(F.get_json_object(raw, "$.common"), "map<string,variant>")
+    common = F.map_concat(
+        F.map_filter(common, lambda k, _: k != "is_new"),
+        F.map_filter(
+            F.create_map(F.lit("is_new"), F.parse_json(F.concat(F.lit('"'), is_new, F.lit('"')))),
+            lambda _, v: v.isNotNull(),
+        ),
+    )
+    rest = F.map_filter(record, lambda k, _: ~k.isin("common", "seq"))
+    return F.to_json(
+        F.map_concat(
+            rest,
+            F.create_map(F.lit("common"), F.parse_json(F.to_json(common)), F.lit("seq"), F.parse_json(seq.cast("string"))),
+        )
+    )
+
+
+def full_displays(raws: DataFrame, raw: str = "raw") -> DataFrame:
+    """One JSON text ``value`` per display of a page: the whole display object and
+    the page's id."""
+    page = F.coalesce(F.to_json(F.struct(F.get_json_object(raw, "$.page.page_id").alias("page_id"))), F.lit("{}"))
+    shown = F.from_json(F.get_json_object(raw, "$.displays"), "array<map<string,variant>>")
+    one = raws.select(F.explode(shown).alias("d"), F.from_json(page, "map<string,variant>").alias("p"))
+    return one.select(F.to_json(F.map_concat(F.map_filter("d", lambda k, _: k != "page_id"), "p")).alias("value"))
+
+
 def start_logs(logs: DataFrame) -> DataFrame:
     """Rows whose ``start`` part is non-empty."""
     return logs.filter(F.length(F.coalesce(F.col("start"), F.lit(""))) > 0)

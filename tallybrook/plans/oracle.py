@@ -218,7 +218,13 @@ def closed(end: str, source: str, delay_ms: int) -> str:
     return f"epoch_ms({end}) <= (select max(ms) from ({source})) - {delay_ms}"
 
 
-WORDS = "unnest(regexp_extract_all(lower({x}), '[a-z0-9]+'))"
+def _words(x: str) -> str:
+    """What is left between characters that are no letter, digit or mark."""
+    return (f"list_filter(string_split_regex(lower({x}), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'),"
+            " lambda w: w <> '')")
+
+
+WORDS = "unnest(" + _words("{x}").replace("{L}", "{{L}}").replace("{N}", "{{N}}").replace("{M}", "{{M}}") + ")"
 
 
 def keyword_select(source: str, width: str, ms: str, where: str = "") -> str:
@@ -341,14 +347,34 @@ ORACLE: dict[str, str] = {
         select round(cast(sum(price) as double), 2) as gmv from base
         where cast(happened as date) = date '1997-01-15'""",
     "gmv_by_tm": _report("sum(price)"),
-    "gmv_list_price": _report("max(sku_price)"),
+    # every product row of the day counts, also those without an order
+    "gmv_list_price": f"""with {PAGES}, {lines("base", None)}, {PAYMENTS}, {PRODUCT},
+        hits as ({" union all ".join(product_rows(
+            "click display display2 favor cart order pay refund comment").values())})
+        select tm_name, round(cast(sum(sku_price) as double), 2) as order_amount
+        from (select distinct sku_id from hits
+              where cast(make_timestamp(ms * 1000) as date) = date '1997-01-15')
+        left join product using (sku_id)
+        group by tm_name order by order_amount desc, tm_name limit 5""",
     "keyword_stats": "with src as (select text as full_word, "
         f"{AS_OF} + doc_id * 60000 as ms from documents) {keyword_select('src', 'hour', 'ms')}",
     "keyword_stats_search": f"with {PAGES}, {SEARCHES} {keyword_select('searches', 'day', 'ts')}",
-    "document_words": """select doc_id,
-        cast(len(regexp_extract_all(lower(text), '[a-z0-9]+'))
-           + len(regexp_extract_all(text, '[一-鿿]')) * 0 as bigint) as n_words
+    "document_words": f"""select doc_id, cast(len({_words("text")}) as bigint) as n_words
         from documents""",
+    "script_words": f"""select doc_id,
+        cast(len({_words("text")}) + case doc_id % 3 when 0 then 4 when 1 then 5 else 6 end as bigint)
+          as n_words,
+        case doc_id % 3 when 0 then '数据,据仓,仓库,数据仓库'
+          when 1 then 'ガラ,ラス,スと,と木,ガラスと木'
+          else '한국,국어,数据,한국어' end as dense,
+        doc_id % 3 = 2 as has_word
+        from documents""",
+    "odd_log_lines": f"""with {PAGES} select seq, seq % 10 = 0 or seq % 5 <> 0 as dirty from pages""",
+    "log_pass_through": f"""with {PAGES}
+        select seq, mid, case when is_new = '1' and rn > 1 then '0' else is_new end as is_new,
+               seq as code, 'b' as tag, page_id, seq as written_seq
+        from (select *, row_number() over (partition by mid, is_new order by ts, seq) as rn
+              from pages where event_type <> 'signup' and seq % 10 <> 0)""",
     "cdc_envelope": f"""with {CHANGES}
         select seq, 'shop' as database, 'order_info' as "tableName", type, old_status, new_status,
                cast(case when type = 'insert' then 0 else 4 end as bigint) as n_before,
@@ -390,8 +416,7 @@ ORACLE: dict[str, str] = {
                     as integer) as "ageInYears"
         from payments""",
     # streamed twins: what a stream has emitted when its input ends
-    "unique_visit_stream": f"""with {PAGES}
-        select distinct mid, cast(happened as date) as visit_day from pages where {ENTRY}""",
+    "unique_visit_stream": f"with {PAGES}, {VISITS} select mid, seq, ts from visits",
     "user_jump_stream": f"""with {PAGES}, {JUMPS} select mid, seq, ts, reason from jumps
         where ts + {JUMP} <= (select max(ts) from pages) - 2000""",
     "order_wide_stream": f"""with {wide(MONTH)}

@@ -110,6 +110,42 @@ def parsed_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def log_pass_through(spark: SparkSession, folder: str) -> DataFrame:
+    """Page records with fields that no schema declares, as written on."""
+    lines = derive.log_lines(table(spark, folder, "events"))
+    more = F.concat(
+        F.regexp_replace("value", r"\}$", ""), F.lit(',"err":{"code":'), F.col("seq").cast("string"),
+        F.lit(',"tags":["a","b"]}}'),
+    )
+    good = good_lines(parse_log(lines.withColumn("value", more), keep=("seq",)))
+    fixed = logs.correct_new_visitors(logs.page_logs(good))
+    value = logs.full_record("raw", F.col("common.is_new"), F.col("seq"))
+    return fixed.select(
+        "seq",
+        F.get_json_object(value, "$.common.mid").alias("mid"),
+        F.get_json_object(value, "$.common.is_new").alias("is_new"),
+        F.get_json_object(value, "$.err.code").cast("bigint").alias("code"),
+        F.get_json_object(value, "$.err.tags[1]").alias("tag"),
+        F.get_json_object(value, "$.page.page_id").alias("page_id"),
+        F.get_json_object(value, "$.seq").cast("bigint").alias("written_seq"),
+    )
+
+
+@query
+def odd_log_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that hold two records, junk behind one, or a time that is no number
+    are dirty, whole."""
+    lines = derive.log_lines(table(spark, folder, "events"))
+    n, v = F.col("seq") % 5, F.col("value")
+    odd = (
+        F.when(n == 1, F.concat(v, v)).when(n == 2, F.concat(v, F.lit(" junk }")))
+        .when(n == 3, F.regexp_replace(v, r'"ts":[0-9]+', '"ts":"oops"')).when(n == 4, F.concat(v, F.lit(","), v)).otherwise(v)
+    )
+    marked = parse_log(lines.withColumn("value", odd), keep=("seq",))
+    return marked.select("seq", "dirty")
+
+
 @query
 def new_visitor_fix(spark: SparkSession, folder: str) -> DataFrame:
     return flat(logs.correct_new_visitors(pages(spark, folder)), "common.is_new")
@@ -264,26 +300,36 @@ def product_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def daily_products(spark: SparkSession, folder: str) -> DataFrame:
-    """The product table of the orders, one window per day.  A report's day
-    filter sinks through both aggregates and the join to the order scan."""
-    rows = stats.order_rows(wide_rows(spark, folder, EVER))
-    return stats.product_stats(rows, derive.product_dims(spark, folder), "1 day")
+STORED: dict[tuple[str, str], str] = {}
+
+
+def daily_products(spark: SparkSession, folder: str, day: int) -> DataFrame:
+    """The stored product table of all rows, one window per day; written by the
+    first report of a session that asks for it.  A report reads its day."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in STORED:
+        found = stats.product_stats(
+            product_rows(spark, folder), derive.product_dims(spark, folder), "1 day"
+        )
+        path = scratch(spark, "product_stats")
+        result_tables.write_result(found, path, "product_stats", 0)
+        STORED[key] = path
+    return result_table(spark, STORED[key], day)
 
 
 @query
 def gmv(spark: SparkSession, folder: str) -> DataFrame:
-    return doubles(reports.gmv(daily_products(spark, folder), 19970115))
+    return doubles(reports.gmv(daily_products(spark, folder, 19970115), 19970115))
 
 
 @query
 def gmv_by_tm(spark: SparkSession, folder: str) -> DataFrame:
-    return doubles(reports.gmv_by_trademark(daily_products(spark, folder), 19970115, 5))
+    return doubles(reports.gmv_by_trademark(daily_products(spark, folder, 19970115), 19970115, 5))
 
 
 @query
 def gmv_list_price(spark: SparkSession, folder: str) -> DataFrame:
-    daily = daily_products(spark, folder)
+    daily = daily_products(spark, folder, 19970115)
     return doubles(reports.gmv_by_trademark(daily, 19970115, 5, "sku_price"))
 
 
@@ -339,6 +385,20 @@ def keyword_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
         group by word, window(rt, '1 day')""")
 
 
+@query
+def script_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Words in scripts without spaces, and accented ones, behind each document."""
+    tails = F.array(*[F.lit(t) for t in ("数据仓库", "ガラスと木", "한국어 Größe ２０ 数据")])
+    docs = table(spark, folder, "documents").select(
+        "doc_id", tokens(F.concat_ws(" ", "text", F.get(tails, (F.col("doc_id") % 3).cast("int")))).alias("w")
+    )
+    dense = F.filter("w", lambda x: x.rlike(r"^[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]+$"))
+    return docs.select(
+        "doc_id", F.size("w").cast("bigint").alias("n_words"), F.array_join(dense, ",").alias("dense"),
+        F.array_contains("w", "größe").alias("has_word"),
+    )
+
+
 @query
 def document_words(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -486,10 +546,7 @@ def new_visitor_fix_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def unique_visit_stream(spark: SparkSession, folder: str) -> DataFrame:
-    found = visits.unique_visits(page_stream(spark, folder)).select(
-        F.col("common.mid").alias("mid"), F.to_date(millis_time("ts")).alias("visit_day")
-    )
-    return drain(spark, found, "unique_visit")
+    return drain(spark, flat(visits.unique_visits(page_stream(spark, folder))), "unique_visit")
 
 
 @query

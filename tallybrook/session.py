@@ -36,13 +36,16 @@ STARTUP_CONF = {
 
 
 def prepare(spark: SparkSession, zone: str | None = None) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session, but for those that the
+    caller has set; ``zone`` is set in any case."""
+    given = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     if zone:
         spark.conf.set("spark.sql.session.timeZone", zone)
     sc = spark.sparkContext
-    if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+    if sc.master.startswith("local") and "spark.sql.shuffle.partitions" not in given:
         # 200 state stores on one machine only cost start-up time
         spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))
     return spark

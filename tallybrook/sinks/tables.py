@@ -13,15 +13,21 @@ def positional(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_result(df: DataFrame, path: str, table: str, batch_id: int) -> None:
-    """Write a micro-batch as one partition of a parquet result table.
+    """Write a micro-batch to a parquet result table, below ``dt=D/batch_id=N``.
 
-    A repeated ``batch_id`` replaces its own partition.  Rows are laid out by
-    ``dt``, the window's day, so a report of one day opens that day only.
+    The window's day is the outer folder, so a report of one day lists and opens
+    that day only.  A repeated ``batch_id`` replaces what it wrote before; an
+    empty batch writes nothing.
     """
     out = positional(df, table).withColumn("dt", F.to_date("stt"))
     # few files per day; AQE splits a day that is too large for one task
-    out = out.hint("rebalance", "dt")
-    out.write.mode("overwrite").partitionBy("dt").parquet(f"{path}/batch_id={batch_id}")
+    out = out.hint("rebalance", "dt").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    (
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "batch_id")
+        .parquet(path)
+    )
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -64,8 +65,16 @@ def delimited(spark: SparkSession, folder: str, schema: T.StructType | str,
     return spark.read.schema(schema).option("sep", sep).csv(folder)
 
 
-def result_table(spark: SparkSession, path: str) -> DataFrame:
-    """A result table written by :func:`tallybrook.sinks.tables.write_result`."""
+def result_table(spark: SparkSession, path: str, day: int | None = None) -> DataFrame:
+    """A result table written by :func:`tallybrook.sinks.tables.write_result`; with
+    ``day`` (yyyyMMdd) only that day's folder is listed."""
+    if day is not None:
+        d = str(day)
+        one = f"{path}/dt={d[:4]}-{d[4:6]}-{d[6:]}"
+        try:
+            return spark.read.option("basePath", path).parquet(one)
+        except AnalysisException:  # nothing of that day
+            return spark.read.parquet(path).filter(F.col("dt") == F.to_date(F.lit(d), "yyyyMMdd"))
     return spark.read.parquet(path)
 
 

@@ -53,7 +53,10 @@ def test_tokens(spark):
     run = "数据仓库视频教程"
     want = ["kite", "spark4", "好", "数据", run] + [run[i:i + 2] for i in range(len(run) - 1)]
     assert got == sorted(want)
-    assert sorted(words._python_tokens("Kite数据仓库视频教程 Spark4 好 数据")) == sorted(want)
+    mixed = one(spark, words.tokens(F.lit("Größe café привет ガラス 한국어 ２０ 数据 e\u0301tude")))
+    assert sorted(mixed) == sorted(
+        ["größe", "café", "привет", "２０", "e\u0301tude", "ガラ", "ラス", "ガラス", "한국", "국어", "한국어", "数据"]
+    )
     assert one(spark, words.tokens(F.lit(" -!"))) == []
 
 
@@ -125,3 +128,22 @@ def test_record_shapes():
     sizes = {k: len(v) for k, v in schemas.RESULT_COLUMNS.items()}
     assert sizes == {"visitor_stats": 12, "product_stats": 25, "province_stats": 10,
                      "keyword_stats": 6}
+
+
+def test_prepare_keeps_what_the_caller_set(spark):
+    from tallybrook.session import prepare
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    prepare(other)
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Shanghai"
+    row = other.sql("select timestamp_millis(1704067200000) as t").selectExpr("cast(to_date(t) as string) d", "hour(t) h")
+    assert tuple(row.head()) == ("2024-01-01", 8)
+    assert prepare(other, "UTC").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_one_value(spark):
+    lines = ['{"a":1}', ' {"a":1} ', '{"a":1}{"b":2}', '{"a":1},{"b":2}', '{"a":1} junk }', "[1,2]", "{", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, v string")
+    got = {r.i for r in df.filter(jsonlines.one_value(F.col("v"))).collect()}
+    assert got == {0, 1, 5}
