@@ -94,4 +94,98 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op3_exact_top_k": OP3_SQL}
+WORDS_SQL = r"""
+w AS (
+  SELECT doc_id, coalesce(text, '') AS text, lang,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+)"""
+
+OP2_SQL = rf"""
+WITH {WORDS_SQL}, windows AS (
+  SELECT doc_id, a, list_slice(words, a, a + 19) AS x
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS a FROM w)
+), later AS (
+  SELECT doc_id, a FROM (SELECT doc_id, a, row_number() OVER (PARTITION BY x ORDER BY doc_id, a) AS k FROM windows)
+  WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(a, a + 20)) AS i FROM later
+), places AS (
+  SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, i, words[i] AS word
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w) AS w
+  ANTI JOIN gone USING (doc_id, i)
+), texts AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM kept GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN places USING (doc_id) LEFT JOIN texts USING (doc_id)
+"""
+
+
+def _js_sql(a: str, b: str) -> str:
+    """Jensen-Shannon distance of two lists of counts."""
+    part = "CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
+    x, y = f"z[1] / list_sum({a})", f"z[2] / list_sum({b})"
+    each = f"{part.format(x=f'({x})', y=f'({y})')} + {part.format(x=f'({y})', y=f'({x})')}"
+    return f"sqrt(greatest(list_sum(list_transform(list_zip({a}, {b}), lambda z: {each})) / 2, 0))"
+
+
+def op5_sql() -> str:
+    listed = {k: "[" + ", ".join(f"'{x}'" for x in v) + "]" for k, v in quality.COMMON.items()}
+    common = "CASE lang " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in listed.items()) + " END"
+    char_sums = ", ".join(f"sum(chars[{i}])" for i in range(1, len(quality.CLASSES) + 1))
+    word_sums = ", ".join(f"sum(common[{i}])" for i in range(1, quality.WORDS + 2))
+    return rf"""
+WITH {WORDS_SQL}, windows AS (
+  SELECT doc_id, a, array_to_string(list_slice(words, a, a + 4), ' ') AS x
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS a FROM w)
+), twice AS (
+  SELECT doc_id, a FROM (SELECT doc_id, a, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(a, a + 5)) AS i FROM twice) GROUP BY doc_id
+), letters AS (
+  SELECT w.*, list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x <> '') AS plain, {common} AS frequent,
+    length(text) AS n0, length(regexp_replace(text, '\p{{Ll}}+', '', 'g')) AS n1,
+    length(regexp_replace(text, '[\p{{Ll}} 	-]+', '', 'g')) AS n2,
+    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}]+', '', 'g')) AS n3,
+    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}\p{{Nd}}]+', '', 'g')) AS n4,
+    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}\p{{Nd}}.,;:!?''"()\-]+', '', 'g')) AS n5,
+    list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, '[^ 	-]')) AS lines
+  FROM w
+), figures AS (
+  SELECT doc_id, CASE WHEN frequent IS NULL THEN 'other' ELSE lang END AS reference,
+    CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+    [n0 - n1, n1 - n2, n2 - n3, n3 - n4, n4 - n5, n5] AS chars,
+    CASE WHEN frequent IS NULL THEN list_transform(range(0, {quality.WORDS}), lambda x: 0)
+      ELSE list_transform(frequent, lambda f: len(list_filter(plain, lambda p: p = f))) END AS hits
+  FROM letters LEFT JOIN covered AS c USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         list_append(hits, greatest(0, n_words - list_sum(hits))) AS common
+  FROM figures
+), ref AS (
+  SELECT reference, [{char_sums}] AS ref_chars, [{word_sums}] AS ref_common
+  FROM judged WHERE NOT base_failed GROUP BY reference
+), far AS (
+  SELECT *, {_js_sql("chars", "ref_chars")} AS dc,
+         CASE WHEN reference <> 'other' THEN {_js_sql("common", "ref_common")} END AS dw
+  FROM judged LEFT JOIN ref USING (reference)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= 50 AND coalesce(dc, 0) > 0.25) AND NOT (n_words >= 100 AND coalesce(dw, 0) > 0.3) AS kept
+FROM far
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": OP2_SQL,
+    "op3_exact_top_k": OP3_SQL,
+    "op5_distribution_rules": op5_sql(),
+}
