@@ -456,3 +456,18 @@ with {lines("base", MONTH)}, {PROVINCE}
     f"w + interval {MONTH // 1000} second",
     "select min(t) as ms from (select max(epoch_ms(o_orderdate)) as t from orders"
     " union all select max(epoch_ms(l_shipdate)) from lineitem)", MONTH))}"""
+
+ORACLE["visitor_stats_stream"] = f"""
+with {PAGES}, {VISITS}, {JUMPS}, {VISITOR_ROWS.replace(
+    "from jumps", f"from (select * from jumps where ts + {JUMP} <= (select max(ts) from pages) - 2000)")}
+{visitor_select("rows", "where " + closed("date_trunc('day', happened) + interval 1 day", _PAGE_MS,
+                                          11_000))}"""
+ORACLE["bad_stamps"] = f"""
+select o_orderkey as id,
+  case when o_orderkey % 4 = 0 then {stamp("o_orderdate")} else '2024-02-01 00:00:00' end as event_time
+from orders"""
+ORACLE["shop_zone_times"] = f"""
+select {stamp("date_trunc('hour', t)")} as hour, cast(strftime(t, '%Y%m%d') as integer) as day,
+  count(*) as n
+from (select make_timestamp(({AS_OF} + event_id * 60000) * 1000) + interval 8 hour as t from events)
+group by 1, 2"""

@@ -14,7 +14,7 @@ from tallybrook.functions.codes import decode
 from tallybrook.functions.columns import camel_columns
 from tallybrook.functions.jsonlines import dirty_lines, good_lines, parse_log
 from tallybrook.functions.times import (
-    age_years, create_parts, day_number, millis_time, parse_stamp, second_time, stamp,
+    age_years, create_parts, day_number, millis_time, parse_stamp, parse_stamp_or, second_time, stamp,
 )
 from tallybrook.functions.words import register_split_words, tokens
 from tallybrook.operators import (
@@ -561,6 +561,48 @@ def visitor_page_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     return drain(spark, stats.visitor_stats(rows, "1 day"), "visitor_stats")
 
 
+@query
+def visitor_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """All three inputs: the streams of unique visits and of bounces, written on
+    by their own jobs, and the pages."""
+    log = page_stream(spark, folder)
+    drained = [
+        drain(spark, visits.unique_visits(log), "visits"),
+        drain(spark, visits.user_jumps(log, JUMP_MS).drop("reason"), "jumps"),
+    ]
+    uv, jumps = (
+        spark.readStream.schema(d.schema).parquet(d.inputFiles()[0].rsplit("/", 1)[0])
+        for d in drained
+    )
+    rows = stats.union_all([stats.uv_rows(uv), stats.jump_rows(jumps), stats.page_rows(log)])
+    return drain(spark, stats.visitor_stats(rows, "1 day"), "visitor_stats")
+
+
+@query
+def bad_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Event time from text; where it is malformed, the record's own time."""
+    n, made = F.col("o_orderkey") % 4, stamp("o_orderdate")
+    text = F.when(n == 1, F.substring(made, 1, 10)).when(n == 2, "soon").when(n == 3, F.lit(None)).otherwise(made)
+    own = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), stamp(parse_stamp_or(text, own)).alias("event_time")
+    )
+
+
+@query
+def shop_zone_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and hours of event times, a minute apart, in the shop's own zone and in a
+    session of its own."""
+    shop = spark.newSession()
+    shop.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    log = table(prepare(shop), folder, "events").select(
+        (F.lit(AS_OF_MS) + F.col("event_id") * 60_000).alias("ts")
+    )
+    return log.groupBy(
+        stamp(F.date_trunc("hour", millis_time("ts"))).alias("hour"), day_number(millis_time("ts")).alias("day")
+    ).agg(F.count("*").alias("n"))
+
+
 @query
 def keyword_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     log = searches(table_stream(spark, folder, "events"), table(spark, folder, "part"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 # a checkpoint every five seconds, as the jobs' settings ask
@@ -41,8 +42,36 @@ def debug_print(df: DataFrame, checkpoint: str, prefix: str,
     return start(df, checkpoint, prefix, "console", trigger, truncate="false")
 
 
+class LateRows(StreamingQueryListener):
+    """Rows dropped as late, per query and summed over its whole run.
+
+    ``spark.streams.addListener(LateRows())`` before the queries start; a query's
+    own reports only go back a hundred micro-batches.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(int(op.numRowsDroppedByWatermark) for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.id), 0)
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as late so far, over the query's stateful operators."""
+    """Rows dropped as late in the micro-batches a query still reports (a hundred)."""
     return sum(
         int(op.get("numRowsDroppedByWatermark", 0))
         for p in query.recentProgress

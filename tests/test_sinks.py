@@ -20,7 +20,8 @@ def test_dim_is_created_once_and_checked(spark, tmp_path):
     root = str(tmp_path)
     schema = dims.create_dim(spark, root, "dim_x", "id, tm_name", buckets=4)
     assert schema.names == ["ID", "TM_NAME"]
-    assert dims.create_dim(spark, root, "dim_x", "id,other").names == ["ID", "TM_NAME"]
+    assert dims.create_dim(spark, root, "dim_x", "id,other").names == ["ID", "TM_NAME", "OTHER"]
+    assert dims.create_dim(spark, root, "dim_x", "id").names == ["ID", "TM_NAME", "OTHER"]
     assert state(spark, root) == []
     with pytest.raises(ValueError):
         dims.create_dim(spark, root, "dim_y", "name,logo")
@@ -141,3 +142,36 @@ def test_text_lines_and_console(spark, tmp_path):
 def test_scratch_is_shared(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(root) and scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_dim_widens_with_its_rules(spark, tmp_path):
+    root = str(tmp_path / "wide")
+    dims.create_dim(spark, root, "dim_user", "id,gender")
+
+    def put(batch, seq, **after):
+        rows = [({k: v for k, v in after.items()}, seq)] if after else []
+        df = spark.createDataFrame(rows, "after map<string,string>, seq bigint")
+        dims.upsert_dim(spark, df, root, "dim_user", batch, full_every=2)
+
+    put(0, 1, id="1", gender="F")
+    assert dims.create_dim(spark, root, "dim_user", "id,name,phone").names == ["ID", "GENDER", "NAME", "PHONE"]
+    put(1, 2, id="1", name="ann")
+    for batch in (2, 3, 4):  # complete versions also come when nothing changes
+        put(batch, 0)
+    assert [r.asDict() for r in dims.read_dim(spark, root, "dim_user").collect()] == [
+        {"ID": "1", "GENDER": "F", "NAME": "ann", "PHONE": None}
+    ]
+    names = sorted(v for v in dims._children(spark, f"{root}/DIM_USER") if v.startswith("v="))
+    assert names == ["v=000000000002.full", "v=000000000004.full"]
+
+
+def test_late_rows_are_summed_over_the_whole_run():
+    from types import SimpleNamespace as N
+
+    from tallybrook.streaming.run import LateRows
+
+    heard = LateRows()
+    heard.onQueryStarted(N(id="q"))
+    for _ in range(150):
+        heard.onQueryProgress(N(progress=N(id="q", stateOperators=[N(numRowsDroppedByWatermark=2)])))
+    assert heard.of(N(id="q")) == 300
