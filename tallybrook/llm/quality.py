@@ -30,6 +30,7 @@ COMMON = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su", "para", "es", "al"],
 }
 WORDS = 20
+LONGER = 1 + max(len(w) for words in COMMON.values() for w in words)  # letters that no common word has
 SPACE = r"[ \t-\r]"
 CLASSES = ["lower", "space", "upper", "digit", "mark", "other"]
 
@@ -51,7 +52,7 @@ def features(docs: DataFrame) -> DataFrame:
     d = d.withColumn("no_digit", _without("no_upper", r"\p{Nd}+"))
     d = d.withColumn("no_mark", _without("no_digit", r"[.,;:!?'\"()\-]+"))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda s: s.rlike(r"[^ \t-\r]")))
-    d = d.withColumn("plain", F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), r"\P{L}+", "  "), F.lit(" ")))
+    d = d.withColumn("plain", F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), rf"\P{{L}}+|\p{{L}}{{{LONGER},}}", "  "), F.lit(" ")))
     n = [F.length(c) for c in ("text", "no_lower", "no_space", "no_upper", "no_digit", "no_mark")]
     by_lang = [
         (lang, F.array(*[((F.length("plain") - F.length(F.replace("plain", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("bigint") for w in words]))
