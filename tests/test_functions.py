@@ -58,6 +58,8 @@ def test_tokens(spark):
         ["größe", "café", "привет", "２０", "e\u0301tude", "ガラ", "ラス", "ガラス", "한국", "국어", "한국어", "数据"]
     )
     assert one(spark, words.tokens(F.lit(" -!"))) == []
+    long = one(spark, words.tokens(F.lit("é" * 60_000 + " " + "数" * 30_000)))
+    assert len(long) == 1 + 29_999 + 1
 
 
 def test_split_words_table_function(spark):
