@@ -15,7 +15,7 @@ that share a doc_id count as documents of their own, ordered by text.  A NULL or
 empty text has no words and stays as it is; a text shorter than a window loses
 nothing.  All columns of the input are returned, but for those with the names of
 the new ones, which are replaced.  Equal windows are told by 64 bits and the
-bucket (7 bits or more): some 10^-8 wrong pairs are to be expected in 10^9
+bucket (7 bits or more): some 10^-4 wrong pairs are to be expected in 10^9
 windows.
 """
 
