@@ -471,3 +471,4 @@ select {stamp("date_trunc('hour', t)")} as hour, cast(strftime(t, '%Y%m%d') as i
   count(*) as n
 from (select make_timestamp(({AS_OF} + event_id * 60000) * 1000) + interval 8 hour as t from events)
 group by 1, 2"""
+ORACLE["replayed_batch"] = "select event_type, count(*) as n from events group by event_type"

@@ -27,6 +27,7 @@ from tallybrook.session import prepare, scratch
 from tallybrook.sinks import dims as dim_store, tables as result_tables
 from tallybrook.sources.changes import change_view, snapshot_then_changes
 from tallybrook.sources.files import result_table, table, table_stream
+from tallybrook.sources.topics import first_deliveries
 from tallybrook.streaming.run import ONCE, start, start_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,13 +377,12 @@ def keyword_stats_sql(spark: SparkSession, folder: str) -> DataFrame:
     log.select("page", second_time("ts").alias("rt")).createOrReplaceTempView("page_view")
     return spark.sql(f"""
         select word as keyword, count(*) as ct, 'search' as source,
-               date_format(window.start, 'yyyy-MM-dd HH:mm:ss') as stt,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss') as edt, bigint({AS_OF_MS}) as ts
-        from (select word, rt
-              from (select page.item as full_word, rt from page_view
-                    where page.last_page_id = 'search' and page.item is not null) t,
-                   lateral split_words(full_word)) w
-        group by word, window(rt, '1 day')""")
+               date_format(min(day.start), 'yyyy-MM-dd HH:mm:ss') as stt,
+               date_format(min(day.end), 'yyyy-MM-dd HH:mm:ss') as edt, bigint({AS_OF_MS}) as ts
+        from (select window(rt, '1 day') as day, page from page_view),
+             lateral split_words(page.item)
+        where page.last_page_id = 'search'
+        group by word, day""")
 
 
 @query
@@ -578,6 +578,18 @@ def visitor_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     return drain(spark, stats.visitor_stats(rows, "1 day"), "visitor_stats")
 
 
+@query
+def replayed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Events whose micro-batch was written twice count once."""
+    events = table(spark, folder, "events").select("event_id", "ts", "event_type")
+    sent = scratch(spark, "replayed")
+    for _ in range(2):
+        events.write.mode("append").parquet(sent)
+    twice = spark.readStream.schema(events.schema).parquet(sent)
+    once = drain(spark, first_deliveries(twice, ["event_id"], "ts", "60 days"), "replayed-once")
+    return once.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 @query
 def bad_stamps(spark: SparkSession, folder: str) -> DataFrame:
     """Event time from text; where it is malformed, the record's own time."""

@@ -23,6 +23,8 @@ def _struct(spec: str, **nested: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, nested.get(t) or _TYPES[t]) for n, t in parts])
 
 
+# Fixed values from here on: names and order of fields, which records, sinks and
+# reports bind by.
 # -- behaviour log -----------------------------------------------------------
 LOG = _struct(
     "common:common page:page displays:displays start:string ts:bigint",
