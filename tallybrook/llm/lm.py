@@ -40,7 +40,7 @@ ROWS = 1 << 15  # hashed rows of features, for classes and for words
 RARE, RATE, STEP = 0, 0.1, 1 << 15
 BLANK = CLASSES * CLASSES  # stands before a text
 END = b""  # no word is empty
-RUN_BYTES, BUCKET_BYTES = 16 << 20, 16 << 20
+RUN_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -74,7 +74,7 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def runs_of(docs: DataFrame) -> DataFrame:
-    """Rows (run, value): documents packed as they lie, about 16 MB of text to a
+    """Rows (run, value): documents packed as they lie, about 8 MB of text to a
     run, written once so that a run's number stays what it is."""
 
     def rows(batches):
