@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,7 +81,7 @@ def rotation(rows: DataFrame, dim: int) -> np.ndarray:
         for batch in batches:
             m = _matrix(batch.column("v").to_pylist(), dim).astype(float)
             total += m.T @ m
-        task = np.random.default_rng(abs(hash(total.tobytes()))).integers(32)
+        task = TaskContext.get().partitionId() % 32
         yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["g", "m"])
 
     def add(table: pa.Table) -> pa.Table:
@@ -97,8 +98,6 @@ def _packed(size: int):
     holds the partition and the place in it."""
 
     def rows(batches):
-        from pyspark import TaskContext
-
         base, held = TaskContext.get().partitionId() << 32, []
 
         def out(table, i):
