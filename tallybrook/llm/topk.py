@@ -16,8 +16,6 @@ table makes a task large.  Scores are 64-bit integers.  Ties go to the smaller
 id.  NULL vectors and vectors with NULL or non-finite components take no part, nor
 do rows without an id; missing trailing components count as 0.  Rows that share
 an id are vectors of their own; a query skips all rows of its id.
-(a query does not skip its namesakes unless they share its id: all rows of the
-query's own id are left out).
 """
 
 from __future__ import annotations
