@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from tallybrook.llm.common import sliced
 from tallybrook.llm.tokens import encoder
 
+MAX_FILES = 100_000  # whose places in the whole are broadcast
 OPTIONS = {
     "orc.compress": "ZSTD",
     "orc.stripe.size": str(16 << 20),
@@ -77,6 +78,9 @@ def read_ids(spark: SparkSession, path: str, where: Column | None = None) -> Dat
     # a file of one key alone comes after the file that ends with that key
     before = Window.orderBy(F.asc_nulls_first("low"), F.asc_nulls_first("high"), "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if len(spark.read.orc(path).inputFiles()) <= MAX_FILES:
+        # two numbers for each file: then the ids need not be shuffled
+        files = F.broadcast(files)
     if where is not None:
         rows = rows.filter(where)
     return rows.join(files, "file").select(

@@ -19,7 +19,7 @@ from tallybrook.llm.common import worker_cache
 
 SEPARATOR = "<|endoftext|>"
 RAW = "\x01"  # marks a piece without a space before it
-LIMIT = 600_000
+LIMIT = 900_000
 
 
 class Encoder:
