@@ -6,8 +6,8 @@ classes of equal size by frequency; all other words are one class.  The
 probability of a word is that of its class times that of the word in its class,
 two softmaxes of a few dozen terms each.  Their scores are sums of weights of
 three features of the history: the word before (bigram), the two before
-(trigram) and the one before the last (skip), rare words counting as one.
-Features are hashed to a fixed number of rows, for the words of a class
+(trigram) and the one before the last (skip), each word by its own hash whether
+it is in the vocabulary or not.  Features are hashed to a fixed number of rows, for the words of a class
 together with the class.  Among the other words, a word has its smoothed share
 of training counts.  A batch looks at each history it has once, however often it
 occurs.
@@ -38,9 +38,10 @@ from tallybrook.llm.common import pack, sliced, text_bytes, unpack, written
 CLASSES = 32  # classes of the vocabulary, and words of a class
 ROWS = 1 << 15  # hashed rows of features, for classes and for words
 RARE, RATE, STEP = 0, 0.1, 1 << 15
-BLANK = CLASSES * CLASSES  # stands before a text
+BLANK = CLASSES * CLASSES  # stands before a text, in histories of numbers
 END = b""  # no word is empty
 RUN_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+NUMBERS = np.arange(BLANK + 1, dtype=np.uint64)  # the names of numbers: themselves
 K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -166,20 +167,23 @@ class Vocabulary:
         return np.where(self.words[at] == words, self.number[at], RARE)
 
 
-def history(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The two numbers before each token, as one; texts begin with blanks."""
+def history(places: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the two words before each token, as one number, and the names
+    of the places: the hashes of all words, in the end that of the blank before a
+    text."""
+    blank = len(words)
     starts = np.cumsum(sizes) - sizes
-    one = np.concatenate([[BLANK], numbers[:-1]])
-    one[starts] = BLANK
-    two = np.concatenate([[BLANK], one[:-1]])
-    two[starts] = BLANK
-    return one * (BLANK + 1) + two
+    one = np.concatenate([[blank], places[:-1]])
+    one[starts] = blank
+    two = np.concatenate([[blank], one[:-1]])
+    two[starts] = blank
+    return one * (blank + 1) + two, np.append(words.astype(np.uint64), ~np.uint64(0))
 
 
-def features(before: np.ndarray) -> np.ndarray:
+def features(before: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Hashes of the features (n x 3) of histories: the word before, both, the one
     before the last."""
-    one, two = (x.astype(np.uint64) for x in np.divmod(before, BLANK + 1))
+    one, two = (names[x] for x in np.divmod(before, len(names)))
     x = np.stack([one * K[0], (one * K[1] ^ (two * K[2] << np.uint64(7))) * K[0], two * K[2]], 1)
     return x ^ (x >> np.uint64(29))
 
@@ -206,7 +210,7 @@ class Model:
         self.classes = np.zeros((ROWS + 1, CLASSES), np.float32) if classes is None else classes
         self.words = np.zeros((ROWS + CLASSES, CLASSES), np.float32) if words is None else words
 
-    def terms(self, before: np.ndarray, word: np.ndarray):
+    def terms(self, before: np.ndarray, word: np.ndarray, names: np.ndarray):
         """Distinct histories with their distribution of classes, and distinct pairs
         of history and class (not 0) with that of the class's words; for both,
         which one a token belongs to."""
@@ -214,7 +218,7 @@ class Model:
         cls, place = word // CLASSES, word % CLASSES
         common = np.flatnonzero(cls)
         pairs, pair = np.unique(which[common] * CLASSES + cls[common], return_inverse=True)
-        x, of = features(seen), pairs % CLASSES
+        x, of = features(seen, names), pairs % CLASSES
         a = np.concatenate([rows_of(x, np.zeros(len(x), np.int64))[0], np.full((len(x), 1), ROWS)], 1)
         b = np.concatenate([rows_of(x[pairs // CLASSES], of)[1], (ROWS + of)[:, None]], 1)
         p = _softmax(self._sum(self.classes, a))
@@ -228,10 +232,10 @@ class Model:
             out += weights[rows[:, i]]
         return out
 
-    def log10(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    def log10(self, before: np.ndarray, word: np.ndarray, names: np.ndarray = NUMBERS) -> np.ndarray:
         out = np.empty(len(word))
         for i in range(0, len(word), STEP):
-            which, cls, _, p, common, pair, place, _, q = self.terms(before[i : i + STEP], word[i : i + STEP])
+            which, cls, _, p, common, pair, place, _, q = self.terms(before[i : i + STEP], word[i : i + STEP], names)
             part = np.log10(np.maximum(p[which, cls], 1e-20)).astype(float)
             part[common] += np.log10(np.maximum(q[pair, place], 1e-20))
             out[i : i + STEP] = part
@@ -245,13 +249,13 @@ class Trainer(Model):
         self.g_words = np.full(self.words.shape[0], 1e-3, np.float32)
         self.seen = 0
 
-    def learn(self, before: np.ndarray, word: np.ndarray) -> None:
+    def learn(self, before: np.ndarray, word: np.ndarray, names: np.ndarray = NUMBERS) -> None:
         """Steps over batches that grow with what has been seen: early steps are
         small and many, later ones share more work."""
         i = 0
         while i < len(word):
             step = min(STEP, max(1024, self.seen // 16))
-            which, cls, a, p, common, pair, place, b, q = self.terms(before[i : i + step], word[i : i + step])
+            which, cls, a, p, common, pair, place, b, q = self.terms(before[i : i + step], word[i : i + step], names)
             i, self.seen = i + step, self.seen + step
             for weights, sums, rows, chance, of, target in (
                 (self.classes, self.g_classes, a, p, which, cls),
@@ -286,7 +290,8 @@ def _train(vocabulary: Vocabulary, blocks: int):
                 _, out, words, place, sizes = _open(value)
                 numbers = vocabulary.of(words)[place]
                 use = np.repeat(~out, sizes)
-                model.learn(history(numbers, sizes)[use], numbers[use])
+                before, names = history(place, sizes, words)
+                model.learn(before[use], numbers[use], names)
                 n += int(use.sum())
         if n:
             both = np.concatenate([model.classes, model.words]).astype(np.float16)
@@ -318,13 +323,13 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, n_rare: int, v_
         count = np.concatenate([p["n"].to_numpy() for p in parts])
         order = np.argsort(word)
         word, count = word[order], count[order]
-        ids, out, words, place, sizes = _open(next(b for b, k in zip(values, kinds) if k == 0))
-        c = count[np.searchsorted(word, words)][place]
+        ids, out, hashes, place, sizes = _open(next(b for b, k in zip(values, kinds) if k == 0))
+        c = count[np.searchsorted(word, hashes)][place]
         first = np.cumsum(sizes) - sizes
         add = lambda a: np.add.reduceat(a, first)  # noqa: E731  every text has its end
-        number = vocabulary.of(words)[place]
-        own = model.log10(history(number, sizes), number)
-        own = own + np.where(number == RARE, np.log10((c + 1) / (n_rare + v_rare + 1)), 0.0)
+        number = vocabulary.of(hashes)[place]
+        before, names = history(place, sizes, hashes)
+        own = model.log10(before, number, names) + np.where(number == RARE, np.log10((c + 1) / (n_rare + v_rare + 1)), 0.0)
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
