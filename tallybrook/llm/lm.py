@@ -8,8 +8,18 @@ two softmaxes of a few dozen terms each.  Their scores are sums of weights of
 three features of the history: the word before (bigram), the two before
 (trigram) and the one before the last (skip), each word by its own hash whether
 it is in the vocabulary or not.  Features are hashed to a fixed number of rows, for the words of a class
-together with the class.  Among the other words, a word has its smoothed share
-of training counts.  A batch looks at each history it has once, however often it
+together with the class.
+
+The words outside this vocabulary are dealt to buckets by hash, and the number of
+buckets follows the bytes of text.  A bucket has its smoothed share of training
+counts, and a model of the same form, with a vocabulary and rows of its own,
+gives the probability of a word in its bucket.  Each token outside the vocabulary
+goes to its bucket with the two words before it, so that model learns from all
+training tokens of its words, and sends the probabilities back.  It starts from
+exact counts; a bucket's words that occur less than LEAST times, or are not among
+its most frequent, have their smoothed share of training counts there.  So known
+words and rows grow with the input; the model of the most frequent words, which
+all tasks train and average, does not.  A batch looks at each history it has once, however often it
 occurs.
 
 Training passes over all training documents once.  Each task makes AdaGrad steps
@@ -38,6 +48,7 @@ from tallybrook.llm.common import pack, sliced, text_bytes, unpack, written
 CLASSES = 32  # classes of the vocabulary, and words of a class
 ROWS = 1 << 15  # hashed rows of features, for classes and for words
 RARE, RATE, STEP = 0, 0.1, 1 << 15
+LEAST = 4  # training tokens of a word in a bucket's vocabulary
 BLANK = CLASSES * CLASSES  # stands before a text, in histories of numbers
 END = b""  # no word is empty
 RUN_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
@@ -71,6 +82,10 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.fromiter(map(word_hash, words), np.int64, len(words)), place, np.diff(at).astype(np.int64) + 1
 
 
+def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
+    return ((words.astype(np.uint64) * K[0] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+
+
 # -- counts -----------------------------------------------------------------
 
 
@@ -105,7 +120,7 @@ def _requests(buckets: int):
                 count = np.bincount(place, np.repeat(~out, sizes), len(words)).astype(np.int64)
                 words, number = np.unique(words, return_inverse=True)  # the end comes twice if it was a word
                 count = np.bincount(number, count, len(words)).astype(np.int64)
-                bucket = (words.astype(np.uint64) * K[0] >> np.uint64(40)) % np.uint64(buckets)
+                bucket = bucket_of(words, buckets)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 values = [
@@ -128,13 +143,6 @@ def _totals(rows: pa.Table) -> tuple[list, list, np.ndarray, np.ndarray]:
     return rows["run"].to_pylist(), words, distinct, count
 
 
-def _replies(rows: pa.Table) -> pa.Table:
-    """One bucket's sums, sent back to the runs that have the words."""
-    runs, words, distinct, count = _totals(rows)
-    out = [pack(pa.table({"word": np.diff(w, prepend=0), "n": count[np.searchsorted(distinct, w)]})) for w in words]
-    return pa.table({"run": pa.array(runs, pa.int64()), "value": pa.array(out, pa.binary())})
-
-
 def _best(rows: pa.Table) -> pa.Table:
     """One bucket's share of the totals and its most frequent words."""
     _, _, distinct, count = _totals(rows)
@@ -308,13 +316,115 @@ def _train(vocabulary: Vocabulary, blocks: int):
     return rows
 
 
+def _rare_tokens(vocabulary: Vocabulary, buckets: int, hashes: np.ndarray, place: np.ndarray):
+    """Where the tokens outside the vocabulary are, bucket by bucket in the order
+    of the text, and the edges of the buckets."""
+    rare, bucket = vocabulary.of(hashes) == RARE, bucket_of(hashes, buckets)
+    at = np.flatnonzero(rare[place])
+    of = bucket[place[at]]
+    order = np.argsort(of, kind="stable")
+    return at[order], np.searchsorted(of[order], np.arange(buckets + 1))
+
+
+def _events(vocabulary: Vocabulary, buckets: int):
+    """Of each run, per bucket: its tokens outside the vocabulary, as numbers among
+    the run's sorted distinct words of the bucket, each with 32 bits of the hashes
+    of the two words before it and whether it is for training."""
+
+    def rows(batches):
+        for batch in batches:
+            for run, value in zip(batch.column("run").to_pylist(), batch.column("value").to_pylist()):
+                _, out, hashes, place, sizes = _open(value)
+                use = np.repeat(~out, sizes)
+                before, names = history(place, sizes, hashes)
+                short = ((names * K[1]) >> np.uint64(32)).astype(np.uint32)
+                at, edges = _rare_tokens(vocabulary, buckets, hashes, place)
+                distinct, number = np.unique(hashes, return_inverse=True)
+                bucket = bucket_of(distinct, buckets)
+                order = np.argsort(bucket, kind="stable")
+                within = np.empty(len(distinct), np.int64)
+                within[order] = np.arange(len(order)) - np.searchsorted(bucket[order], bucket[order])
+                number = within[number][place[at]].astype(np.int32)
+                one, two = (short[x] for x in np.divmod(before[at], len(names)))
+                full = [b for b in range(buckets) if edges[b] < edges[b + 1]]
+                values = [
+                    pack(pa.table({"word": number[s], "one": one[s], "two": two[s], "use": use[at[s]]}))
+                    for s in (slice(edges[b], edges[b + 1]) for b in full)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int32()), pa.array([run] * len(full), pa.int64()), pa.array([1] * len(full), pa.int32()), pa.array(values, pa.binary())],
+                    names=["bucket", "run", "kind", "value"],
+                )
+
+    return rows
+
+
+def _started(counts: np.ndarray, others: float) -> Trainer:
+    """A model whose biases give shares of counts: of the words of a vocabulary in
+    their order, and of all others together."""
+    model = Trainer()
+    table = np.full(CLASSES * CLASSES, 1e-6)
+    table[CLASSES : CLASSES + len(counts)] = counts
+    table = table.reshape(CLASSES, CLASSES)
+    model.words[ROWS:] = np.log(table)
+    total = table.sum(1)
+    total[0] = others
+    model.classes[ROWS] = np.log(total)
+    return model
+
+
+def _replies(vocabulary: Vocabulary, n_rare: int, v_rare: int, buckets: int):
+    """One bucket's counts (kind 1) and the log10 probabilities of its words among
+    those outside the vocabulary (kind 2), sent back to the runs that have them."""
+
+    def rows(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("kind", "ascending"), ("run", "ascending")])
+        bucket, events = table["bucket"][0].as_py(), pc.equal(table["kind"], 1)
+        runs, words, distinct, count = _totals(table.filter(pc.invert(events)))
+        counts = [count[np.searchsorted(distinct, w)] for w in words]
+        out = [(run, 1, pack(pa.table({"word": np.diff(w, prepend=0), "n": c}))) for run, w, c in zip(runs, words, counts)]
+        keep = (vocabulary.of(distinct) == RARE) & (count > 0)
+        n, v = int(count[keep].sum()), int(keep.sum())
+        top = np.lexsort((distinct, -np.where(keep, count, 0)))[: CLASSES * (CLASSES - 1)]
+        top = top[keep[top] & (count[top] >= LEAST)]
+        local = Vocabulary(distinct[top])
+        others = n - int(count[top].sum()) + v - len(top) + 1
+        model = _started(count[top], others)
+        share = np.log10((n + v + 1) / (n_rare + v_rare + buckets))
+        of_run, given = dict(zip(runs, zip(words, counts))), []
+        asked = table.filter(events)
+        for run, value in zip(asked["run"].to_pylist(), asked["value"].to_pylist()):
+            part = unpack(value)
+            word, one, two, use = (part[c].to_numpy() for c in ("word", "one", "two", "use"))
+            names, place = np.unique(np.concatenate([one, two]), return_inverse=True)
+            before = place[: len(one)] * len(names) + place[len(one) :]
+            number, c = local.of(of_run[run][0])[word], of_run[run][1][word]
+            names = names.astype(np.uint64)
+            model.learn(before[use], number[use], names)
+            given.append((run, before, number, names, c))
+        for run, before, number, names, c in given:
+            p = share + model.log10(before, number, names) + np.where(number == RARE, np.log10((c + 1) / others), 0.0)
+            out.append((run, 2, pack(pa.table({"p": p.astype(np.float32)}))))
+        run, kind, value = zip(*out)
+        return pa.table(
+            {
+                "run": pa.array(run, pa.int64()),
+                "kind": pa.array(kind, pa.int32()),
+                "bucket": pa.array([bucket] * len(out), pa.int32()),
+                "value": pa.array(value, pa.binary()),
+            }
+        )
+
+    return rows
+
+
 def _average(rows: pa.Table) -> pa.Table:
     n = rows["n"].to_numpy()
     total = sum(w * np.frombuffer(v, np.float16).astype(np.float32) for w, v in zip(n, rows["value"].to_pylist())) / n.sum()
     return pa.table({"block": rows["block"][:1], "value": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, n_rare: int, v_rare: int):
+def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, buckets: int):
     def rows(table: pa.Table) -> pa.Table:
         values = table["value"].to_pylist()
         kinds = table["kind"].to_pylist()
@@ -329,7 +439,11 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, n_rare: int, v_
         add = lambda a: np.add.reduceat(a, first)  # noqa: E731  every text has its end
         number = vocabulary.of(hashes)[place]
         before, names = history(place, sizes, hashes)
-        own = model.log10(before, number, names) + np.where(number == RARE, np.log10((c + 1) / (n_rare + v_rare + 1)), 0.0)
+        own = model.log10(before, number, names)
+        at, _ = _rare_tokens(vocabulary, buckets, hashes, place)
+        if len(at):
+            answers = sorted((b, x) for b, x, k in zip(table["bucket"].to_pylist(), values, kinds) if k == 2)
+            own[at] += np.concatenate([unpack(x)["p"].to_numpy() for _, x in answers])
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
@@ -348,7 +462,7 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, n_rare: int, v_
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of
     every document."""
-    buckets = max(32, text_bytes(docs) // BUCKET_BYTES)
+    buckets = int(max(32, text_bytes(docs) // BUCKET_BYTES))
     runs = runs_of(docs)
     asked = written(runs.mapInArrow(_requests(buckets), "bucket int, run bigint, value binary"), "words")
     by_bucket = asked.groupBy("bucket")
@@ -373,9 +487,16 @@ def score(docs: DataFrame) -> DataFrame:
     flat = b"".join(bytes(r["value"]) for r in sorted(weights.collect(), key=lambda r: r["block"]))
     both = np.frombuffer(flat, np.float32).reshape(-1, CLASSES)
     model = Model(both[: ROWS + 1], both[ROWS + 1 :]) if len(both) else Model()
-    replies = by_bucket.applyInArrow(_replies, "run bigint, value binary")
-    rows = runs.select("run", F.lit(0).alias("kind"), "value").unionByName(replies.select("run", F.lit(1).alias("kind"), "value"))
+    events = runs.mapInArrow(_events(vocabulary, buckets), "bucket int, run bigint, kind int, value binary")
+    v_rare = v - len(frequent)
+    replies = (
+        asked.select("bucket", "run", F.lit(0).alias("kind"), "value")
+        .unionByName(events)
+        .groupBy("bucket")
+        .applyInArrow(_replies(vocabulary, n_rare, v_rare, buckets), "run bigint, kind int, bucket int, value binary")
+    )
+    rows = runs.select("run", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), "value").unionByName(replies)
     return rows.groupBy("run").applyInArrow(
-        _score(model, vocabulary, n, v, n_rare, v - len(frequent)),
+        _score(model, vocabulary, n, v, buckets),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )

@@ -25,3 +25,26 @@ def test_rare_words_are_told_apart_as_history(spark):
         rows.append((i, " ".join(f"r{k} f{k % 40}" for k in picks)))
     got = lm.score(spark.createDataFrame(rows, SCHEMA).coalesce(1)).filter("held_out").collect()
     assert bits(got) < 8.0  # 8.7 when they all count as one
+
+
+def test_words_outside_the_vocabulary_have_context(spark):
+    """3,000 pairs of words: the second is certain after the first."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1500):
+        picks = [rng.randrange(3000) for _ in range(60)]
+        rows.append((i, " ".join(f"r{k} s{k}" for k in picks)))
+    got = lm.score(spark.createDataFrame(rows, SCHEMA).coalesce(1)).filter("held_out").collect()
+    assert bits(got) < 11.2  # PLACEHOLDER
+
+
+def test_a_bucket_sums_to_one():
+    rng = np.random.default_rng(2)
+    counts = np.sort(rng.integers(lm.LEAST, 500, 700))[::-1]
+    model = lm._started(counts, 50.0)
+    every = np.concatenate([[lm.RARE], lm.CLASSES + np.arange(700)])
+    before = rng.integers(0, lm.BLANK**2, 4000)
+    shares = np.concatenate([[50.0], counts]) / (50 + counts.sum())
+    assert np.allclose(10.0 ** model.log10(np.repeat(before[:1], 701), every), shares, rtol=1e-3)
+    model.learn(before, rng.choice(every, 4000))
+    assert abs((10.0 ** model.log10(np.repeat(before[:1], 701), every)).sum() - 1) < 1e-3
