@@ -1,9 +1,11 @@
 """Removal of repeated runs of lines, by content-defined chunks.
 
 The lines of a text are hashed, and a rolling hash over each two neighbouring
-line hashes decides whether a chunk ends after them.  The cut depends on the
-lines alone, so inserted lines shift nothing: chunks agree again two lines
-later.  A chunk has ``min_lines`` to ``max_lines`` lines; only chunks of two
+line hashes decides whether a chunk may end after them: all but one in
+``divisor`` of the places do.  ``min_lines`` lets a cut also depend on where its
+chunk began, so after inserted lines chunks agree again from the first end that
+both have, mostly a few lines later.  A repeat goes as far as whole chunks lie
+inside it, so short repeats in different surroundings may stay.  A chunk has ``min_lines`` to ``max_lines`` lines; only chunks of two
 lines or more that hold a word are ever removed.  Chunks go, packed, to the
 bucket of their hash.  A run of rows sends equal chunks once, so a chunk that a
 third of all documents share stays small.  In its bucket, chunks of one hash
@@ -40,7 +42,7 @@ def chunks(lines: list[bytes], divisor: int, min_lines: int, max_lines: int) ->
         rolled = (last * BASE + h) & MASK
         last = h
         size = i + 1 - start
-        if size >= max_lines or (size >= min_lines and (rolled * BASE & MASK) >> 40 & 0xFFFF < 0x10000 // divisor):
+        if size >= max_lines or (size >= min_lines and (rolled * BASE & MASK) >> 40 & 0xFFFF >= 0x10000 // divisor):
             out.append((start, i + 1))
             start = i + 1
     if start < len(lines):
