@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, line_dedup, lm, minhash, orc_ids, packing, quality, substring_dedup, topk, toxicity
+from tallybrook.llm import (
+    bpe, conversations, lexical, line_dedup, lm, minhash, orc_ids, packing, permutation, quality, substring_dedup, topk, toxicity,
+)
 from tallybrook.llm.common import documents, shared
 from tallybrook.session import prepare
 
@@ -73,9 +75,30 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(prepare(spark), sf_dir), tokenizer("word_bpe_49k.json"), digests=True)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired by the cheapest edits."""
+    rows = conversations.damaged(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.summary(conversations.repair(rows, F.col("present")))
+
+
+def op12_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector."""
+    vectors = prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return permutation.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    items = prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.search(documents(spark, sf_dir), items)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_ordinal_toxicity, op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op6_maxent_lm, op7_line_dedup, op8_orc_ids, op9_dart_minhash, op10_bpe_transducer)
+    for f in (
+        op1_ordinal_toxicity, op2_substring_dedup, op3_exact_top_k, op4_cost_packing, op5_distribution_rules, op6_maxent_lm, op7_line_dedup,
+        op8_orc_ids, op9_dart_minhash, op10_bpe_transducer, op11_conversation_repair, op12_permutation_index, op13_automaton_search,
+    )
 }
 
 OP3_SQL = """
@@ -149,11 +172,16 @@ WITH {WORDS_SQL}, windows AS (
 ), letters AS (
   SELECT w.*, list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x <> '') AS plain, {common} AS frequent,
     length(text) AS n0, length(regexp_replace(text, '\p{{Ll}}+', '', 'g')) AS n1,
-    length(regexp_replace(text, '[\p{{Ll}} 	-]+', '', 'g')) AS n2,
-    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}]+', '', 'g')) AS n3,
-    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}\p{{Nd}}]+', '', 'g')) AS n4,
-    length(regexp_replace(text, '[\p{{Ll}} 	-\p{{Lu}}\p{{Nd}}.,;:!?''"()\-]+', '', 'g')) AS n5,
-    list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, '[^ 	-]')) AS lines
+    length(regexp_replace(text, '[\p{{Ll}} 	-
+]+', '', 'g')) AS n2,
+    length(regexp_replace(text, '[\p{{Ll}} 	-
+\p{{Lu}}]+', '', 'g')) AS n3,
+    length(regexp_replace(text, '[\p{{Ll}} 	-
+\p{{Lu}}\p{{Nd}}]+', '', 'g')) AS n4,
+    length(regexp_replace(text, '[\p{{Ll}} 	-
+\p{{Lu}}\p{{Nd}}.,;:!?''"()\-]+', '', 'g')) AS n5,
+    list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, '[^ 	-
+]')) AS lines
   FROM w
 ), figures AS (
   SELECT doc_id, CASE WHEN frequent IS NULL THEN 'other' ELSE lang END AS reference,
@@ -184,8 +212,32 @@ FROM far
 """
 
 
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), sizes AS (
+  SELECT count(*) FILTER (len(t) > 0) AS nd, CAST(sum(len(t)) AS BIGINT) AS total FROM docs
+), tf AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs) GROUP BY ALL
+), df AS (
+  SELECT term, count(*) AS df FROM tf GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // total)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN df USING (term), sizes GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": OP2_SQL,
     "op3_exact_top_k": OP3_SQL,
     "op5_distribution_rules": op5_sql(),
+    "op13_automaton_search": OP13_SQL,
 }
