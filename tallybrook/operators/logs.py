@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallybrook.functions.jsontext import carried_items, with_value
+
 
 def is_entry(last_page: Column | str = "page.last_page_id") -> Column:
     """True where a page was opened from nowhere (NULL or empty last page)."""
@@ -47,34 +49,20 @@ def correct_new_visitors(logs: DataFrame, order: tuple[str, ...] = ("ts", "seq")
     return rest.unionByName(fixed.select(*logs.columns))
 
 
-def full_record(raw: Column | str, is_new: Column, seq: Column) -> Column:
-    """The JSON text of a whole log record, known fields or not, with the corrected
-    ``common.is_new`` and the row's ``seq``."""
-    record = F.from_json(raw, "map<string,variant>")
-    common = F.from_json(F.get_json_object(raw, "$.common"), "map<string,variant>")
-    common = F.map_concat(
-        F.map_filter(common, lambda k, _: k != "is_new"),
-        F.map_filter(
-            F.create_map(F.lit("is_new"), F.parse_json(F.concat(F.lit('"'), is_new, F.lit('"')))),
-            lambda _, v: v.isNotNull(),
-        ),
-    )
-    rest = F.map_filter(record, lambda k, _: ~k.isin("common", "seq"))
-    return F.to_json(
-        F.map_concat(
-            rest,
-            F.create_map(F.lit("common"), F.parse_json(F.to_json(common)), F.lit("seq"), F.parse_json(seq.cast("string"))),
-        )
-    )
+def full_record(raw: Column | str, was: Column, now: Column) -> Column:
+    """The text of a whole log record with the corrected ``common.is_new``: ``was`` and
+    ``now`` are the flag as it came and as it is.  Where they agree the text is the one
+    that came; else that one value is replaced in it, all other bytes stay."""
+    text = F.col(raw) if isinstance(raw, str) else raw
+    changed = ~was.eqNullSafe(now)
+    return F.when(changed, with_value(F.when(changed, text), ("common", "is_new"), '"0"')).otherwise(text)
 
 
-def full_displays(raws: DataFrame, raw: str = "raw") -> DataFrame:
-    """One JSON text ``value`` per display of a page: the whole display object and
-    the page's id."""
-    page = F.coalesce(F.to_json(F.struct(F.get_json_object(raw, "$.page.page_id").alias("page_id"))), F.lit("{}"))
-    shown = F.from_json(F.get_json_object(raw, "$.displays"), "array<map<string,variant>>")
-    one = raws.select(F.explode(shown).alias("d"), F.from_json(page, "map<string,variant>").alias("p"))
-    return one.select(F.to_json(F.map_concat(F.map_filter("d", lambda k, _: k != "page_id"), "p")).alias("value"))
+def full_displays(raws: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON text ``value`` per display of a page, numbered by ``place``: the whole
+    display object, byte for byte, and the page's id."""
+    shown = carried_items(F.when(F.contains(F.col(raw), F.lit("displays")), F.col(raw)), "displays", ("page", "page_id"))
+    return raws.select(*keep, F.posexplode(shown).alias("place", "value"))
 
 
 def start_logs(logs: DataFrame) -> DataFrame:

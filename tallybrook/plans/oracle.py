@@ -390,6 +390,16 @@ ORACLE: dict[str, str] = {
         union all
         select 'unrouted', -1, null, 'c_acctbal,c_custkey,c_mktsegment,c_name,c_nationkey'
         from customer""",
+    "route_changing_rules": f"""with {CHANGES}, tenths as (select max(seq) as top from feed where type <> 'delete')
+        select case when type = 'insert' then 'fact' when seq >= top * 2 // 10 and seq < top * 8 // 10 then 'dim'
+                 else 'unrouted' end as lane, seq,
+               case when type = 'insert' then 'dwd_order_info'
+                    when seq >= top * 2 // 10 and seq < top * 8 // 10 then 'dim_order_status' end as "sinkTable",
+               case when type = 'insert' and seq < top * 5 // 10 then 'id,user_id'
+                    when type = 'insert' then 'id,total_amount,user_id'
+                    when seq >= top * 2 // 10 and seq < top * 8 // 10 then 'id,order_status'
+                    else 'id,order_status,total_amount,user_id' end as columns
+        from feed, tenths where type <> 'delete'""",
     "cdc_changelog": f"""with {CHANGES}
         select seq, false as is_add, cast(o_orderkey as varchar) as id, old_status as order_status
         from feed where type <> 'insert'

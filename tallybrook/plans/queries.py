@@ -25,6 +25,7 @@ from tallybrook.plans.derive import AS_OF_MS, DAY_MS
 from tallybrook.schemas import RULE
 from tallybrook.session import prepare, scratch
 from tallybrook.sinks import dims as dim_store, tables as result_tables
+from tallybrook.sinks.history import History
 from tallybrook.sources.changes import change_view, snapshot_then_changes
 from tallybrook.sources.files import result_table, table, table_stream
 from tallybrook.sources.topics import first_deliveries
@@ -449,6 +450,61 @@ def cdc_route(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def route_changing_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of changes in three parts, each run after a restart, while its rules are
+    added, widened and deleted; one rule comes a part later than its changes."""
+    feed = envelope.not_deleted(changes(spark, folder)).withColumn("_rule", F.lit(False))
+    top = feed.agg(F.max("seq")).first()[0]
+
+    def at(tenth: int) -> int:
+        return top * tenth // 10
+
+    def rule(op: str, sink: str, name: str, columns: str) -> dict[str, str]:
+        return {"sourceTable": "order_info", "operateType": op, "sinkType": sink, "sinkTable": name,
+                "sinkColumns": columns}
+
+    slim = rule("insert", "kafka", "dwd_order_info", "id,user_id")
+    wider = rule("insert", "kafka", "dwd_order_info", "id, user_id, total_amount")
+    state = rule("update", "hbase", "dim_order_status", "id,order_status")
+    # part in which it comes, type, before, after, sequence number
+    rule_feed = [
+        (0, "read", {}, slim, at(9)), (1, "insert", {}, state, at(2)), (1, "update", slim, wider, at(5)),
+        (2, "delete", state, {}, at(8)),
+    ]
+    shape = T.StructType.fromDDL(
+        "type string, before map<string,string>, after map<string,string>, seq bigint"
+    )
+    sent, base = scratch(spark, "rule-feed"), scratch(spark, "rule-history")
+    envelope_schema = feed.drop("_rule").schema
+    kept = [History(spark, f"{base}/{n}", envelope_schema) for n in ("rules", "waiting")]
+    out = History(spark, f"{base}/routed", "lane string, seq bigint, sinkTable string, columns string")
+
+    def shown(routed: DataFrame) -> DataFrame:
+        return routed.select(
+            routing.lane().alias("lane"), "seq", "sinkTable",
+            F.array_join(F.array_sort(F.map_keys("after")), ",").alias("columns"),
+        )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        routed, _ = routing.route_batch(batch, batch_id, *kept)
+        out.append(shown(routed.filter("sinkType IS NOT NULL")), batch_id)
+
+    for part in range(3):
+        now = [r[1:] for r in rule_feed if r[0] == part]
+        own = spark.createDataFrame(now, shape).select(
+            F.lit("shop").alias("database"), F.lit("table_process").alias("tableName"),
+            "before", "after", "type", "seq", F.lit(True).alias("_rule"),
+        )
+        mine = (F.col("seq") > at(3 * part)) if part else F.lit(True)
+        mine = mine & (F.col("seq") <= at(3 * part + 3)) if part < 2 else mine
+        feed.filter(mine).unionByName(own).write.mode("append").parquet(sent)
+        stream = spark.readStream.schema(feed.schema).parquet(sent)
+        start_batches(stream, write, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
+    left = routing.route_as_of(kept[1].read().drop("batch_id"), routing.rule_versions(kept[0].read()))
+    return out.read().drop("batch_id").unionByName(shown(routing.unrouted(left)))
+
+
 @query
 def cdc_changelog(spark: SparkSession, folder: str) -> DataFrame:
     signed = changelog.to_changelog(changes(spark, folder), keep=("seq",))

@@ -30,6 +30,21 @@ def write_result(df: DataFrame, path: str, table: str, batch_id: int) -> None:
     )
 
 
+def land_lines(lines: DataFrame, path: str, batch_id: int) -> None:
+    """Write the lines (``value``, ``record_time``) of a micro-batch as text below
+    ``dt=D/batch_id=N``, D the day they came.  A repeated ``batch_id`` replaces what it
+    wrote before."""
+    out = lines.select(
+        "value", F.to_date("record_time").alias("dt"), F.lit(batch_id).cast("bigint").alias("batch_id")
+    )
+    (
+        out.hint("rebalance", "dt").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "batch_id")
+        .text(path)
+    )
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000,
                **options: str) -> None:
     """Append a micro-batch to a database table by column position,

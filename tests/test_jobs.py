@@ -8,7 +8,7 @@ from conftest import T0
 from tallybrook.operators import reports, routing
 from tallybrook.plans.jobs import Warehouse
 from tallybrook.sinks.dims import read_dim
-from tallybrook.sources.files import result_table, text_lines
+from tallybrook.sources.files import result_table
 from tallybrook.sources.topics import FolderTopics
 from tallybrook.streaming.run import ONCE
 
@@ -111,9 +111,9 @@ def test_warehouse_end_to_end(spark, tmp_path):
         job().awaitTermination()
 
     def topic(name):
-        return [json.loads(r.value) for r in text_lines(spark, wh.topics.path(name)).collect()]
+        return [json.loads(r.value) for r in wh.topics.lines(name).collect()]
 
-    dirty = text_lines(spark, wh.topics.path("ods_base_log_dirty")).collect()
+    dirty = wh.topics.lines("ods_base_log_dirty").collect()
     assert [r.value for r in dirty if r.value] == ["{broken"]
     start = topic("dwd_start_log")
     assert [(r["common"]["mid"], r["common"]["is_new"]) for r in start] == [("m1", "1")]
