@@ -38,10 +38,9 @@ def gmv_by_trademark(stats: DataFrame, day: int | None = None, limit: int = 5,
 
 
 def as_map(top: DataFrame, key: str = "tm_name", value: str = "order_amount") -> DataFrame:
-    """The top rows as one MAP in rank order; ``top`` is a bounded report."""
-    ranked = F.sort_array(
-        F.collect_list(F.struct((-F.col(value)).alias("r"), F.coalesce(F.col(key), F.lit("")).alias("k"),
-                                F.col(value).alias("v")))
-    )
+    """The top rows as one MAP in rank order; ``top`` is a bounded report.  A map has no
+    NULL key: what has no name goes under the empty one, together with what bears it."""
+    named = top.groupBy(F.coalesce(F.col(key), F.lit("")).alias("k")).agg(F.sum(value).alias("v"))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("v")).alias("r"), "k", "v")))
     pairs = F.transform(ranked, lambda e: F.struct(e["k"], e["v"]))
-    return top.agg(F.map_from_entries(pairs).alias("amounts"))
+    return named.agg(F.map_from_entries(pairs).alias("amounts"))

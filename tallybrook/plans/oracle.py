@@ -372,7 +372,7 @@ ORACLE: dict[str, str] = {
     "odd_log_lines": f"""with {PAGES} select seq, seq % 10 = 0 or seq % 5 <> 0 as dirty from pages""",
     "log_pass_through": f"""with {PAGES}
         select seq, mid, case when is_new = '1' and rn > 1 then '0' else is_new end as is_new,
-               seq as code, 'b' as tag, page_id, seq as written_seq
+               seq as code, 'b' as tag, page_id
         from (select *, row_number() over (partition by mid, is_new order by ts, seq) as rn
               from pages where event_type <> 'signup' and seq % 10 <> 0)""",
     "cdc_envelope": f"""with {CHANGES}

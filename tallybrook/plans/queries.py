@@ -121,16 +121,17 @@ def log_pass_through(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(',"tags":["a","b"]}}'),
     )
     good = good_lines(parse_log(lines.withColumn("value", more), keep=("seq",)))
-    fixed = logs.correct_new_visitors(logs.page_logs(good))
-    value = logs.full_record("raw", F.col("common.is_new"), F.col("seq"))
-    return fixed.select(
+    pages_ = logs.page_logs(good).withColumn("was", F.col("common.is_new"))
+    fixed = logs.correct_new_visitors(pages_)
+    record = logs.full_record("raw", F.col("was"), F.col("common.is_new"))
+    value = F.col("value")
+    return fixed.select("seq", record.alias("value")).select(
         "seq",
         F.get_json_object(value, "$.common.mid").alias("mid"),
         F.get_json_object(value, "$.common.is_new").alias("is_new"),
         F.get_json_object(value, "$.err.code").cast("bigint").alias("code"),
         F.get_json_object(value, "$.err.tags[1]").alias("tag"),
         F.get_json_object(value, "$.page.page_id").alias("page_id"),
-        F.get_json_object(value, "$.seq").cast("bigint").alias("written_seq"),
     )
 
 

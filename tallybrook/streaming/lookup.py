@@ -25,7 +25,7 @@ def _wait(wait_ms: int):
         args = {"left_on": "at", "right_on": "dim_at", "by": "k"}
         held = pd.merge_asof(facts, side, direction="backward", **args)
         soon = pd.merge_asof(facts, side, direction="forward", tolerance=wait_ms, **args)
-        found = held["found"].fillna(soon["found"])
+        found = held["found"].where(held["found"].notna(), soon["found"])
         status = pd.Series("found", facts.index).where(held["found"].notna(), "late")
         status = status.where(found.notna(), "timeout")
         done = found.notna() | (facts["at"] + wait_ms < now)
