@@ -551,7 +551,7 @@ def dim_upsert(spark: SparkSession, folder: str) -> DataFrame:
     mention only some columns."""
     root = scratch(spark, "dims")
     c = table(spark, folder, "customer")
-    dim_store.create_dim(spark, root, "dim_customer", "id,name,segment", "id", buckets=8)
+    dim_store.create_dim(spark, root, "dim_customer", "id,name,segment", "id")
     key = F.col("c_custkey")
 
     def change(**cols) -> DataFrame:

@@ -18,7 +18,7 @@ def state(spark, root, name="dim_x"):
 
 def test_dim_is_created_once_and_checked(spark, tmp_path):
     root = str(tmp_path)
-    schema = dims.create_dim(spark, root, "dim_x", "id, tm_name", buckets=4)
+    schema = dims.create_dim(spark, root, "dim_x", "id, tm_name")
     assert schema.names == ["ID", "TM_NAME"]
     assert dims.create_dim(spark, root, "dim_x", "id,other").names == ["ID", "TM_NAME", "OTHER"]
     assert dims.create_dim(spark, root, "dim_x", "id").names == ["ID", "TM_NAME", "OTHER"]
@@ -29,7 +29,7 @@ def test_dim_is_created_once_and_checked(spark, tmp_path):
 
 def test_dim_upserts(spark, tmp_path):
     root = str(tmp_path)
-    dims.create_dim(spark, root, "dim_x", "id,a,b", buckets=4)
+    dims.create_dim(spark, root, "dim_x", "id,a,b")
     many = [({"id": str(i), "a": f"a{i}", "b": "x"}, i) for i in range(20)]
     dims.upsert_dim(spark, changes(spark, many), root, "dim_x", 0)
     want = {str(i): [f"a{i}", "x"] for i in range(20)}
@@ -40,7 +40,8 @@ def test_dim_upserts(spark, tmp_path):
         want.update({"3": ["new", "y"], "4": [None, "x"], "30": ["n", None]})
         got = {k: [a, b] for k, a, b in state(spark, root)}
         assert got == want
-    # a full version ends the search for older ones
+    # a new base ends the search for older deltas
+    dims.merge_dim(spark, root, "dim_x")
     dims.upsert_dim(spark, changes(spark, [({"id": "5", "a": "five"}, 1)]), root, "dim_x", 50)
     want["5"][0] = "five"
     assert {k: [a, b] for k, a, b in state(spark, root)} == want
@@ -53,11 +54,13 @@ def test_dim_upserts(spark, tmp_path):
 
 def test_unfinished_version_is_ignored(spark, tmp_path):
     root = str(tmp_path)
-    dims.create_dim(spark, root, "dim_x", "id,a", buckets=1)
+    dims.create_dim(spark, root, "dim_x", "id,a")
     dims.upsert_dim(spark, changes(spark, [({"id": "1", "a": "x"}, 1)]), root, "dim_x", 0)
-    half = tmp_path / "DIM_X" / "v=000000000001" / "bucket=0"
-    half.mkdir(parents=True)
+    for folder in ("schema", "base", "delta"):
+        (tmp_path / "DIM_X" / folder / "v=000000000001.000000000001").mkdir(parents=True)
     assert state(spark, root) == [("1", "x")]
+    dims.upsert_dim(spark, changes(spark, [({"id": "1", "a": "y"}, 2)]), root, "dim_x", 1)
+    assert state(spark, root) == [("1", "y")]
 
 
 def product_rows(spark, n=4):
@@ -151,18 +154,37 @@ def test_dim_widens_with_its_rules(spark, tmp_path):
     def put(batch, seq, **after):
         rows = [({k: v for k, v in after.items()}, seq)] if after else []
         df = spark.createDataFrame(rows, "after map<string,string>, seq bigint")
-        dims.upsert_dim(spark, df, root, "dim_user", batch, full_every=2)
+        dims.upsert_dim(spark, df, root, "dim_user", batch, merge_after=2)
+
+    def versions(kind):
+        return [v[:2] for v in dims._versions(spark, f"{root}/DIM_USER/{kind}")]
 
     put(0, 1, id="1", gender="F")
     assert dims.create_dim(spark, root, "dim_user", "id,name,phone").names == ["ID", "GENDER", "NAME", "PHONE"]
+    assert versions("schema") == [(0, 0), (1, 0)]  # the old one is not touched
     put(1, 2, id="1", name="ann")
-    for batch in (2, 3, 4):  # complete versions also come when nothing changes
-        put(batch, 0)
-    assert [r.asDict() for r in dims.read_dim(spark, root, "dim_user").collect()] == [
-        {"ID": "1", "GENDER": "F", "NAME": "ann", "PHONE": None}
-    ]
-    names = sorted(v for v in dims._children(spark, f"{root}/DIM_USER") if v.startswith("v="))
-    assert names == ["v=000000000002.full", "v=000000000004.full"]
+    put(2, 0)  # a quiet batch leaves nothing
+    want = [{"ID": "1", "GENDER": "F", "NAME": "ann", "PHONE": None}]
+    assert [r.asDict() for r in dims.read_dim(spark, root, "dim_user").collect()] == want
+    assert versions("delta") == [(0, 0), (1, 1)]
+    for batch in range(3, 9):
+        put(batch, batch, id=str(batch), gender="M")
+        put(batch, batch, id=str(batch), gender="M")  # again: the same delta
+    assert versions("base")[-1][0] >= 3 and len(versions("base")) <= 2 and len(versions("delta")) <= 6
+    got = {r.ID: (r.GENDER, r.NAME) for r in dims.read_dim(spark, root, "dim_user", ["ID", "GENDER", "AGE"]).collect()}
+    assert got == {"1": ("F", "ann"), **{str(i): ("M", None) for i in range(3, 9)}}
+    put(0, 1, id="1", gender="X")  # a lost checkpoint counts from 0 again
+    assert dims.read_dim(spark, root, "dim_user").filter("ID = 1").first().GENDER == "X"
+
+
+def test_older_changes_only_fill_gaps(spark, tmp_path):
+    root = str(tmp_path)
+    dims.create_dim(spark, root, "dim_x", "id,a,b")
+    dims.upsert_dim(spark, changes(spark, [({"id": "1", "a": "new"}, 9)]), root, "dim_x", 0, ordered=True)
+    dims.upsert_dim(spark, changes(spark, [({"id": "1", "a": "old", "b": "x"}, 5)]), root, "dim_x", 1, ordered=True)
+    assert state(spark, root) == [("1", "new", "x")]
+    none = dims.read_dim(spark, root, "dim_none", ["ID", "N"])
+    assert none.columns == ["ID", "N"] and none.count() == 0
 
 
 def test_late_rows_are_summed_over_the_whole_run():
