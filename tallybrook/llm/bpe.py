@@ -31,6 +31,7 @@ from tallybrook.llm.common import sliced, worker_cache
 END = 0x1000  # added to the code of a symbol that ends a word
 NEVER = 1 << 60
 LIMIT = 300_000
+HEAD = 6  # symbols whose state is kept for the next word that begins with them
 
 
 def byte_symbols() -> list[str]:
@@ -63,8 +64,16 @@ class Transducer:
         # a token that its own parts would not form can never come out
         self.ids = {t: i for t, i in names.items() if t not in self.parts or self._forms(t)}
         self.longest = max(map(len, self.ids))
+        # lengths of the tokens that end in the same three symbols, longest first
+        ends: dict[str, set[int]] = {}
+        for t in self.ids:
+            if len(t) > 2:
+                ends.setdefault(t[-3:], set()).add(len(t))
+        self.ends = {e: (*sorted(n, reverse=True), 2, 1) for e, n in ends.items()}
         self.lookahead = sufficient_lookahead(merges)
         self.may_follow = lru_cache(LIMIT)(self._may_follow)
+        self.begun: dict[str, list[str]] = {}
+        self.name_of = {i: t.encode("utf-8") for i, t in self.text_of.items()}
         self.symbols = byte_symbols()
         self.byte = {c: b for b, c in enumerate(self.symbols)}
 
@@ -141,16 +150,26 @@ class Transducer:
 
     def _short(self, word: str) -> list[str]:
         """The same for a word that ends before anything could be emitted."""
-        ids, longest, may_follow = self.ids, self.longest, self.may_follow
+        ids, lengths, may_follow = self.ids, self.ends.get, self.may_follow
         if word in ids:
             return [word]
-        last = [""]
-        for i in range(1, len(word) + 1):
-            for start in range(i - longest if i > longest else 0, i):
-                t = word[start:i]
-                if t in ids and (not start or may_follow(last[start], t)):
-                    last.append(t)
-                    break
+        # what a prefix leads to does not depend on what follows it
+        head = word[:HEAD] if len(word) > HEAD else ""
+        last = self.begun.get(head)
+        known = last is not None
+        last = last.copy() if known else [""]
+        for i in range(len(last), len(word) + 1):
+            if i == HEAD + 1 and not known:
+                if len(self.begun) > LIMIT:
+                    self.begun.clear()
+                self.begun[head] = last.copy()
+            for n in lengths(word[i - 3 : i], (2, 1)) if i > 2 else (2, 1):
+                start = i - n
+                if start >= 0:
+                    t = word[start:i]
+                    if t in ids and (not start or may_follow(last[start], t)):
+                        last.append(t)
+                        break
         out, at = [], len(word)
         while at:
             out.append(last[at])
@@ -178,14 +197,20 @@ class Transducer:
         text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
         return [self.ids[t] for w in self.words.findall(text) for t in self.tokens(self.word_symbols(w))]
 
-    def token_texts(self, ids: Iterable[int]) -> list[str]:
-        """Each id as the library's decode shows it where the file names no decoder."""
-        return [self.text_of[i] for i in ids]
-
-    def decoded(self, ids: Iterable[int]) -> Iterator[str]:
+    def decoded(self, ids: Iterable[int], tokens: bool = False) -> Iterator[str]:
         """The text of a stream of ids, character by character as its bytes become
-        complete; broken bytes become U+FFFD.  A word's end becomes a space."""
+        complete; broken bytes become U+FFFD.  A word's end becomes a space.
+
+        With ``tokens`` the bytes are those of the tokens' own names, one space between
+        two: the library's decode where the file names no decoder.
+        """
         machine = codecs.getincrementaldecoder("utf-8")("replace")
+        if tokens:
+            between = b""
+            for i in ids:
+                yield machine.decode(between + self.name_of[i])
+                between = b" "
+            return
         for i in ids:
             token = self.text_of[i]
             if token in self.special:
@@ -220,16 +245,23 @@ class _Known:
 
     def __init__(self, path: str):
         self.machine = Transducer(path)
+        # the pieces of late, and those before them: what comes often is carried over
         self.of: dict[str, tuple[int, str, str]] = {}
+        self.before: dict[str, tuple[int, str, str]] = {}
 
     def look_up(self, pieces: list[str]) -> tuple[np.ndarray, pa.Array, pa.Array]:
-        if len(self.of) > LIMIT:
-            self.of.clear()
+        got = []
         for p in pieces:
-            if p not in self.of:
-                ids = self.machine.encode(p)
-                self.of[p] = (len(ids), " ".join(map(str, ids)), " ".join(self.machine.token_texts(ids)))
-        got = [self.of[p] for p in pieces]
+            found = self.of.get(p)
+            if found is None:
+                found = self.before.get(p)
+                if found is None:
+                    ids = self.machine.encode(p)
+                    found = (len(ids), " ".join(map(str, ids)), "".join(self.machine.decoded(ids, tokens=True)))
+                if len(self.of) >= LIMIT // 2:
+                    self.before, self.of = self.of, {}
+                self.of[p] = found
+            got.append(found)
         return (
             np.fromiter((g[0] for g in got), np.int64, len(got)),
             pa.array([g[1] for g in got], pa.large_string()),

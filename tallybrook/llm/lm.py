@@ -451,7 +451,7 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, buckets: int):
                 "n_tokens": sizes,
                 "n_known": add((c > 0).astype(np.int64)),
                 "train_tokens": np.full(len(sizes), n, np.int64),
-                "base_score": add(np.log10((c + 1.0) / (float(n + 1) * float(v + 1)))),
+                "base_score": add(np.log10((c + 1.0) / (n + v + 1.0))),
                 "score": add(own),
             }
         )

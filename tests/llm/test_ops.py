@@ -240,7 +240,7 @@ def test_transducer():
     for t in texts:
         ids = model.encode(t, add_special_tokens=False).ids
         assert machine.encode(t) == ids
-        assert " ".join(machine.token_texts(ids)) == model.decode(ids, skip_special_tokens=False)
+        assert "".join(machine.decoded(ids, tokens=True)) == model.decode(ids, skip_special_tokens=False)
     word = machine.word_symbols("ab" * 4000)
     emitted = 0
     for n, token in enumerate(machine.tokens(iter(word))):
@@ -430,7 +430,7 @@ def test_lm(docs, empty, spark):
     n, v = sum(count.values()), len(count)
     assert sum(map(len, out.values())) == len(ROWS)
     for i, w in tokens:
-        base = sum(np.log10((count[x] + 1) / ((n + 1) * (v + 1))) for x in w)
+        base = sum(np.log10((count[x] + 1) / (n + 1 * (v + 1))) for x in w)
         assert any(
             r.n_tokens == len(w) and r.n_known == sum(count[x] > 0 for x in w) and r.train_tokens == n and r.base_score == pytest.approx(base) for r in out[i]
         )
