@@ -15,6 +15,7 @@ same verdict each; other columns of the input stay out of the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,6 @@ COMMON = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su", "para", "es", "al"],
 }
 WORDS = 20
-LONGER = 1 + max(len(w) for words in COMMON.values() for w in words)  # letters that no common word has
 SPACE = r"[ \t-\r]"
 CLASSES = ["lower", "space", "upper", "digit", "mark", "other"]
 
@@ -39,6 +39,12 @@ def _without(text: str, pattern: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(""))
 
 
+def _by_lang(make: Callable[[list[str]], Column]) -> Column:
+    """What ``make`` gives for the common words of a row's language; NULL for others."""
+    first, *rest = COMMON.items()
+    return reduce(lambda c, x: c.when(F.col("lang") == x[0], make(x[1])), rest, F.when(F.col("lang") == first[0], make(first[1])))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """Per document: n_words and word_chars of its words ``[^\\x20\\x09-\\x0D]+``,
     n_symbols (characters of ``#*$%&|<>``), n_dup_lines (lines with a word that
@@ -46,20 +52,22 @@ def features(docs: DataFrame) -> DataFrame:
     twice or more in the text), base_failed, and the two histograms."""
     d = docs.select("doc_id", F.col("lang").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     d = d.withColumn("words", F.filter(F.split("text", SPACE + "+"), lambda w: w != ""))
+    d = d.withColumn("word_hashes", F.transform("words", lambda w: F.xxhash64(w)))
     d = d.withColumn("no_lower", _without("text", r"\p{Ll}+"))
     d = d.withColumn("no_space", _without("no_lower", SPACE + "+"))
     d = d.withColumn("no_upper", _without("no_space", r"\p{Lu}+"))
     d = d.withColumn("no_digit", _without("no_upper", r"\p{Nd}+"))
     d = d.withColumn("no_mark", _without("no_digit", r"[.,;:!?'\"()\-]+"))
     d = d.withColumn("lines", F.filter(F.split("text", "\n"), lambda s: s.rlike(r"[^ \t-\r]")))
-    d = d.withColumn("plain", F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), rf"\P{{L}}+|\p{{L}}{{{LONGER},}}", "  "), F.lit(" ")))
+    d = d.withColumn("low", F.lower("text"))
+    d = d.withColumn("hits", _by_lang(lambda words: F.regexp_extract_all("low", F.lit(rf"(?:^|\P{{L}})({'|'.join(words)})(?!\p{{L}})"), F.lit(1))))
+    # only the common words are left, each between blanks of its own
+    d = d.withColumn("plain", F.concat(F.lit(" "), F.array_join("hits", "  "), F.lit(" ")))
     n = [F.length(c) for c in ("text", "no_lower", "no_space", "no_upper", "no_digit", "no_mark")]
-    by_lang = [
-        (lang, F.array(*[((F.length("plain") - F.length(F.replace("plain", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("bigint") for w in words]))
-        for lang, words in COMMON.items()
-    ]
-    none = F.array(*[F.lit(0).cast("bigint")] * WORDS)
-    common = reduce(lambda c, x: c.when(F.col("lang") == x[0], x[1]), by_lang[1:], F.when(F.col("lang") == by_lang[0][0], by_lang[0][1])).otherwise(none)
+    counts = _by_lang(
+        lambda words: F.array(*[((F.length("plain") - F.length(F.replace("plain", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("bigint") for w in words])
+    )
+    common = F.coalesce(counts, F.array(*[F.lit(0).cast("bigint")] * WORDS))
     d = d.select(
         "doc_id",
         F.when(F.col("lang").isin(list(COMMON)), F.col("lang")).otherwise("other").alias("reference"),
@@ -71,7 +79,7 @@ def features(docs: DataFrame) -> DataFrame:
             F.size("words") >= 5,
             F.transform(
                 F.sequence(F.lit(0), F.size("words") - 5),
-                lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(5)]),
+                lambda i: F.xxhash64(*[F.get("word_hashes", i + k) for k in range(5)]),
             ),
         ).otherwise(F.array().cast("array<bigint>")).alias("windows"),
         F.array(*[(a - b).cast("bigint") for a, b in zip(n, n[1:] + [F.lit(0)])]).alias("char_hist"),
