@@ -63,7 +63,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, kind:
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
         .mapInArrow(encode, f"doc_id {key}, local_start bigint, n_tokens bigint, ids array<int>")
-        .write.options(**OPTIONS)
+        # places count by file: one file for each task, whatever the session's limit
+        .write.options(**OPTIONS, maxRecordsPerFile=0)
         .orc(path)
     )
 
