@@ -6,7 +6,8 @@ import contextlib
 import ctypes
 import gc
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 from types import ModuleType
 
 import numpy as np
@@ -122,6 +123,16 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("text")) - 1)
 
 
+def aside(docs: DataFrame, taken: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The input with other names for the columns whose names (whatever their case) an
+    operator needs for its own, and what gives them their names back."""
+    low, used = {t.lower() for t in taken}, {c.lower() for c in docs.columns}
+    free = (f"_own{i}" for i in count() if f"_own{i}" not in used | low)
+    hidden = {c: next(free) for c in docs.columns if c.lower() in low}
+    shown = {new: old for old, new in hidden.items()}
+    return docs.withColumnsRenamed(hidden), lambda df: df.withColumnsRenamed(shown)
+
+
 def shared(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one that all executors share."""
     from tallybrook.session import scratch

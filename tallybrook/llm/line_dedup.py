@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallybrook.llm.common import as_bytes, keyed, pack, sliced, text_bytes
+from tallybrook.llm.common import as_bytes, aside, keyed, pack, sliced, text_bytes
 from tallybrook.llm.exchange import NULL_ID, RUN_BYTES, grouped, keys, passing, text_rows, texts_and_places, to_bucket, to_groups
 
 BASE = 0x9E3779B97F4A7C15
@@ -155,8 +155,8 @@ def _cut(rule: tuple[int, int, int], schema: StructType):
 
 def remove_repeated_lines(docs: DataFrame, divisor: int = 3, min_lines: int = 2, max_lines: int = 64) -> DataFrame:
     """The columns of the input with ``text`` cut, n_lines and n_removed_lines."""
-    new = {f.name for f in NEW}
-    docs = docs.select(*[c for c in docs.columns if c not in new])
+    new = {f.name.lower() for f in NEW}
+    docs, back = aside(docs.select(*[c for c in docs.columns if c.lower() == "text" or c.lower() not in new]), ["_n"])
     rule = (divisor, min_lines, max_lines)
     size = text_bytes(docs)
     buckets, groups = max(128, size // BUCKET_BYTES), max(128, size // GROUP_BYTES)
@@ -169,4 +169,4 @@ def remove_repeated_lines(docs: DataFrame, divisor: int = 3, min_lines: int = 2,
         .applyInArrow(_repeats(groups), "group int, kind int, value binary")
     )
     texts = named.mapInArrow(text_rows(groups), "group int, kind int, value binary")
-    return texts.unionByName(found).groupBy("group").applyInArrow(_cut(rule, schema), schema)
+    return back(texts.unionByName(found).groupBy("group").applyInArrow(_cut(rule, schema), schema))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import as_bytes, keyed, sliced, split_words, word_hashes, written
+from tallybrook.llm.common import as_bytes, aside, keyed, sliced, split_words, word_hashes, written
 from tallybrook.llm.substring_dedup import rolling
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -289,6 +289,7 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
 def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of the input that stay: one document of each group."""
     kept = near_copies(docs, similarity).filter("kept").select("doc_id", "_n")
-    named = keyed(docs)
+    renamed, back = aside(docs, ["_n"])
+    named = keyed(renamed)
     same = named["doc_id"].eqNullSafe(kept["doc_id"]) & (named["_n"] == kept["_n"])
-    return named.join(kept, same, "left_semi").drop("_n")
+    return back(named.join(kept, same, "left_semi").drop("_n"))

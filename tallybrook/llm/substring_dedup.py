@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tallybrook.llm.common import as_bytes, keyed, pack, sliced, split_words, text_bytes, word_hashes
+from tallybrook.llm.common import as_bytes, aside, keyed, pack, sliced, split_words, text_bytes, word_hashes
 from tallybrook.llm.exchange import NULL_ID, RUN_BYTES, grouped, keys, passing, text_rows, texts_and_places, to_bucket, to_groups
 
 BASE, SECOND = np.uint64(0x9E3779B97F4A7C15 | 3), np.uint64(0xC2B2AE3D27D4EB4F | 3)
@@ -188,8 +188,8 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """Documents without the passages that occur earlier: the columns of the
     input with ``text`` cut, n_words, n_removed, kept_words (joined by one
     space) and removed (intervals of word numbers, end excluded)."""
-    new = {f.name for f in NEW}
-    docs = docs.select(*[c for c in docs.columns if c not in new])
+    new = {f.name.lower() for f in NEW}
+    docs, back = aside(docs.select(*[c for c in docs.columns if c.lower() == "text" or c.lower() not in new]), ["_n"])
     size = text_bytes(docs)
     buckets, groups = max(128, size // BUCKET_BYTES), max(128, size // GROUP_BYTES)
     named = keyed(docs)
@@ -201,4 +201,4 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
         .applyInArrow(_repeats(groups), "group int, kind int, value binary")
     )
     texts = named.mapInArrow(text_rows(groups), "group int, kind int, value binary")
-    return texts.unionByName(found).groupBy("group").applyInArrow(_cut(width, schema), schema)
+    return back(texts.unionByName(found).groupBy("group").applyInArrow(_cut(width, schema), schema))

@@ -1,0 +1,79 @@
+"""Columns of the caller whose names an operator uses itself."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from tallybrook.llm import line_dedup, minhash, orc_ids, substring_dedup
+from tallybrook.llm.common import aside
+from tallybrook.llm.queries import tokenizer
+
+PICK = random.Random(11)
+WORDS = [f"w{i}" for i in range(200)]
+
+
+def prose(n):
+    return " ".join(PICK.choices(WORDS, k=n))
+
+
+PASSAGE, LINES = prose(60), "\n".join(prose(6) for _ in range(12))
+TEXTS = {1: f"{prose(40)} {PASSAGE}", 2: f"{prose(50)} {PASSAGE}", 3: f"{prose(5)}\n{LINES}", 4: f"{prose(7)}\n{LINES}", 5: prose(90), 6: None}
+TEXTS[7] = TEXTS[5] + " tail"
+NAMES = ["N_WORDS", "severity", "Grade", "toxic", "n_removed", "n_lines", "removed", "_own0", "uid", "kept", "group", "label"]
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_operators_keep_what_is_not_theirs(spark, kind):
+    extra = ", ".join(f"{n} {kind}" for n in ["_n", "_own0", "uid", "kept", "group", "bucket"])
+    value = (lambda i: f"v{i}") if kind == "string" else (lambda i: i * 7)
+    rows = [(i, t, *[value(i)] * 6) for i, t in TEXTS.items()]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, {extra}").repartition(3)
+    # 4 shares twelve of its thirteen lines with 3, and 7 all but a word with 5
+    for run, rest in ((substring_dedup.remove_repeats, 7), (line_dedup.remove_repeated_lines, 7), (minhash.without_near_copies, 5)):
+        out = run(docs)
+        assert out.columns[: len(docs.columns)] == docs.columns
+        found = {r.doc_id: (r["_n"], r["_own0"], r["uid"], r["kept"], r["group"], r["bucket"]) for r in out.collect()}
+        assert found == {i: (value(i),) * 6 for i in found} and len(found) == rest
+    clash = docs.withColumnsRenamed({"uid": "N_WORDS", "kept": "N_LINES"})
+    assert {r.n_words > 0 for r in substring_dedup.remove_repeats(clash).filter("doc_id < 6").collect()} == {True}
+    assert line_dedup.remove_repeated_lines(clash).filter("doc_id = 3").first().n_lines == 13
+
+
+def test_stages_return_the_columns_of_documents(spark, tmp_path):
+    rows = [(i, t, *[i * 10 + k for k in range(len(NAMES))], f"own {i}") for i, t in TEXTS.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} int" for n in NAMES) + ", _n string")
+    spark.createDataFrame([(i, 1, 0) for i in TEXTS], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema.names == docs.schema.names, name
+        for r in out.drop("text").collect():
+            assert tuple(r)[1:] == (*[r.doc_id * 10 + k for k in range(len(NAMES))], f"own {r.doc_id}"), name
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    assert docs.count() == 6  # one of the near copies has gone
+
+
+def test_aside_finds_free_names(spark):
+    frame = spark.createDataFrame([(1, 2, 3)], "_N int, _own0 int, other int")
+    moved, back = aside(frame, ["_n"])
+    assert moved.columns == ["_own1", "_own0", "other"] and back(moved).columns == frame.columns
+    assert back(moved.drop("_own1")).columns == ["_own0", "other"]
+
+
+def test_places_hold_whatever_the_files_limit(spark, tmp_path):
+    docs = spark.createDataFrame([(i, prose(1 + i % 9)) for i in range(300)], "doc_id bigint, text string").repartition(4)
+    paths = [str(tmp_path / name) for name in ("free", "limited")]
+    orc_ids.write_ids(docs, paths[0], tokenizer("byte_bpe_50k.json"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "20")
+    try:
+        orc_ids.write_ids(docs, paths[1], tokenizer("byte_bpe_50k.json"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    free, limited = ([tuple(r) for r in orc_ids.read_ids(spark, p).orderBy("doc_id").collect()] for p in paths)
+    assert free == limited
+    at = 0
+    for _, start, n, ids in limited:
+        assert start == at and n == len(ids)
+        at += n
