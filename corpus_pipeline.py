@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm import line_dedup, minhash, packing, substring_dedup, toxicity
-from tallybrook.llm.common import documents, written
+from tallybrook.llm.common import aside, documents, written
 from tallybrook.llm.queries import tokenizer
 from tallybrook.session import prepare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Documents whose further columns are out of an operator's way, whatever they are
+    called, and what gives them their names back."""
+    return aside(docs, [c for c in docs.columns if c not in ("doc_id", "text")])
+
+
 def _with_text(changed: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs``; n_chars follows the text."""
     if "n_chars" in docs.columns:
@@ -29,25 +35,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
-    return toxicity.score(docs, model).filter("NOT toxic").select(*docs.columns)
+    plain, back = _apart(docs)
+    return back(toxicity.score(plain, model).filter("NOT toxic").select(*plain.columns))
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated runs of lines.  A document that was nothing
     else goes; one that had no text before stays."""
-    cut = line_dedup.remove_repeated_lines(docs)
+    plain, back = _apart(docs)
+    cut = line_dedup.remove_repeated_lines(plain)
     left = (F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^ \t-\r]")
-    return _with_text(cut.filter(left), docs)
+    return _with_text(back(cut.filter(left).select(*plain.columns)), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return minhash.without_near_copies(docs).select(*docs.columns)
+    plain, back = _apart(docs)
+    return back(minhash.without_near_copies(plain).select(*plain.columns))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 20 words or more that occur earlier."""
-    return _with_text(substring_dedup.remove_repeats(docs), docs)
+    plain, back = _apart(docs)
+    return _with_text(back(substring_dedup.remove_repeats(plain).select(*plain.columns)), docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
