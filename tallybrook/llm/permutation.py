@@ -33,7 +33,7 @@ from tallybrook.llm.common import written
 PIVOTS, NEAREST = 512, 64
 SHARD, QUERIES = 8_192, 16_384
 # Candidates: a quarter of a shard, LEAST at least.  A share, so that recall does not fall
-# where shards are full; a sixteenth gave 0.86 to 0.89 of the neighbours.
+# where shards are full (a trial with a sixteenth gave 0.86 to 0.89 of the neighbours).
 SHARE, LEAST = 4, 512
 EDGES = -1  # pivot number of the row that holds a shard's vectors
 
