@@ -18,7 +18,7 @@ import codecs
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import batched
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,6 @@ from tallybrook.llm.common import sliced, worker_cache
 END = 0x1000  # added to the code of a symbol that ends a word
 NEVER = 1 << 60
 LIMIT = 300_000
-NONE: dict[str, bool] = {}
 HEAD = 6  # symbols whose state is kept for the next word that begins with them
 
 
@@ -65,17 +64,14 @@ class Transducer:
         # a token that its own parts would not form can never come out
         self.ids = {t: i for t, i in names.items() if t not in self.parts or self._forms(t)}
         self.longest = max(map(len, self.ids))
-        # tokens from their last symbol backwards; under "" the token that begins there
-        self.back: dict = {}
+        # lengths of the tokens that end in the same three symbols, longest first
+        ends: dict[str, set[int]] = {}
         for t in self.ids:
-            node = self.back
-            for c in reversed(t):
-                node = node.setdefault(c, {})
-            node[""] = t
-        self.follow: dict[str, dict[str, bool]] = {}
-        self.pairs = 0
+            if len(t) > 2:
+                ends.setdefault(t[-3:], set()).add(len(t))
+        self.ends = {e: (*sorted(n, reverse=True), 2, 1) for e, n in ends.items()}
         self.lookahead = sufficient_lookahead(merges)
-        self.short = 2 * (self.lookahead + self.longest)  # such a word ends before anything is emitted
+        self.may_follow = lru_cache(LIMIT)(self._may_follow)
         self.begun: dict[str, list[str]] = {}
         self.name_of = {i: t.encode("utf-8") for i, t in self.text_of.items()}
         self.symbols = byte_symbols()
@@ -113,21 +109,13 @@ class Transducer:
                     return True
         return False
 
-    def may_follow(self, left: str, right: str) -> bool:
-        """Whether two tokens may stand side by side; pairs met are kept."""
-        if self.pairs > LIMIT:
-            self.follow.clear()
-            self.pairs = 0
-        may = self.follow.setdefault(left, {})
-        if right not in may:
-            may[right] = not self._joined(left, right)
-            self.pairs += 1
-        return may[right]
+    def _may_follow(self, left: str, right: str) -> bool:
+        return not self._joined(left, right)
 
     def tokens(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of one word, each as soon as it is stable."""
         hold = self.lookahead + self.longest
-        if isinstance(symbols, str) and len(symbols) < self.short:
+        if isinstance(symbols, str) and len(symbols) < 2 * hold:
             yield from self._short(symbols)
             return
         text, last = "", [""]  # the window's symbols; the last token of each prefix
@@ -162,39 +150,26 @@ class Transducer:
 
     def _short(self, word: str) -> list[str]:
         """The same for a word that ends before anything could be emitted."""
-        if word in self.ids:
+        ids, lengths, may_follow = self.ids, self.ends.get, self.may_follow
+        if word in ids:
             return [word]
         # what a prefix leads to does not depend on what follows it
         head = word[:HEAD] if len(word) > HEAD else ""
         last = self.begun.get(head)
         known = last is not None
         last = last.copy() if known else [""]
-        back, follow = self.back, self.follow
         for i in range(len(last), len(word) + 1):
             if i == HEAD + 1 and not known:
                 if len(self.begun) > LIMIT:
                     self.begun.clear()
                 self.begun[head] = last.copy()
-            node, found = back, []
-            for at in range(i - 1, -1, -1):
-                node = node.get(word[at])
-                if node is None:
-                    break
-                if "" in node:
-                    found.append(node[""])
-            while found:  # the longest first
-                t = found.pop()
-                start = i - len(t)
-                if not start:
-                    last.append(t)
-                    break
-                left = last[start]
-                fits = follow.get(left, NONE).get(t)
-                if fits is None:
-                    fits = self.may_follow(left, t)
-                if fits:
-                    last.append(t)
-                    break
+            for n in lengths(word[i - 3 : i], (2, 1)) if i > 2 else (2, 1):
+                start = i - n
+                if start >= 0:
+                    t = word[start:i]
+                    if t in ids and (not start or may_follow(last[start], t)):
+                        last.append(t)
+                        break
         out, at = [], len(word)
         while at:
             out.append(last[at])
@@ -218,13 +193,9 @@ class Transducer:
     def _plain(self, text: str) -> list[int]:
         if self.suffix and text.isascii() and text.isalpha():
             text = text.lower()
-            return self._ids(text[:-1] + chr(ord(text[-1]) + END))
+            return [self.ids[t] for t in self.tokens(text[:-1] + chr(ord(text[-1]) + END))]
         text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
-        return [i for w in self.words.findall(text) for i in self._ids(self.word_symbols(w))]
-
-    def _ids(self, word: str) -> list[int]:
-        ids = self.ids
-        return [ids[t] for t in (self._short(word) if len(word) < self.short else self.tokens(word))]
+        return [self.ids[t] for w in self.words.findall(text) for t in self.tokens(self.word_symbols(w))]
 
     def decoded(self, ids: Iterable[int], tokens: bool = False) -> Iterator[str]:
         """The text of a stream of ids, character by character as its bytes become
@@ -236,8 +207,8 @@ class Transducer:
         machine = codecs.getincrementaldecoder("utf-8")("replace")
         if tokens:
             between = b""
-            for some in batched(ids, 4096):
-                yield machine.decode(between + b" ".join([self.name_of[i] for i in some]))
+            for i in ids:
+                yield machine.decode(between + self.name_of[i])
                 between = b" "
             return
         for i in ids:
