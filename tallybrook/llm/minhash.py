@@ -13,12 +13,12 @@ document have a dart, so the work follows its number of shingles.
 Documents with equal words form a class, of which one takes part.  Bands of
 coordinates give buckets; in a bucket every member is paired with the one that
 shares most with others, never with all, and pairs are checked by exact
-similarity.  What is
-still apart after that but shares a bucket is paired across the groups found so
-far, but for pairs whose shingle counts by parts of the hash space rule out
-that they are similar, and checked in the same way: no link in a bucket is
-lost.  Links make
-groups by connected components; all of it stays in tables.
+similarity.  What is still apart after that but shares a bucket is never compared
+bucket by bucket: each such text sends its rarest shingles, as many as two similar
+texts can't all differ in, and texts of different groups that meet in one of them
+are checked in the same way.  No link in a bucket is lost, and shingles that very
+many texts share bring nobody together.  Links make groups by connected components;
+all of it stays in tables.
 
 Documents of fewer than five words have one shingle, of all their words; those
 without words (NULL, empty) are near nothing.  Rows that share a doc_id count
@@ -39,7 +39,7 @@ from tallybrook.llm.substring_dedup import rolling
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 6
 BASE = np.uint64(0x9E3779B97F4A7C15 | 3)
-PARTS = 256
+SLOTS = 1 << 20  # of shingle hashes, to tell rare from frequent
 SMALLEST = 0.25  # rank of the first regions
 MANY = 1 << 19  # darts of one step
 
@@ -122,17 +122,14 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, _n, hi and lo (128-bit hash of the words), bands (NULL without
-    words) and parts (shingles in each of 256 parts of the hash space)."""
+    """doc_id, _n, hi and lo (128-bit hash of the words) and bands (NULL without
+    words)."""
 
     def make(batches):
         for batch in sliced(batches, "text", 2 << 20):
             owner, element, weight, joined = shingles(as_bytes(batch.column("text")))
             present = np.unique(owner)
             values = [None] * batch.num_rows
-            # shingles of each part of the hash space
-            counts = np.bincount(owner * PARTS + (element >> np.uint64(56)).astype(np.int64), weight, batch.num_rows * PARTS)
-            counts = counts.astype(np.int32).reshape(-1, PARTS)
             if len(present):
                 signature = sketch(np.searchsorted(present, owner), element, weight, len(present), bands * rows)
                 # the low halves are hashes of the darts, the ranks add nothing
@@ -150,13 +147,12 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                     pa.array(np.array([d >> 64 for d in digests], np.uint64).view(np.int64)),
                     pa.array(np.array([d & (1 << 64) - 1 for d in digests], np.uint64).view(np.int64)),
                     pa.array(values, pa.list_(pa.int64())),
-                    pa.array(list(counts), pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "_n", "hi", "lo", "bands", "parts"],
+                names=["doc_id", "_n", "hi", "lo", "bands"],
             )
 
     key = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "_n", "text").mapInArrow(make, f"doc_id {key}, _n int, hi bigint, lo bigint, bands array<bigint>, parts array<int>")
+    return docs.select("doc_id", "_n", "text").mapInArrow(make, f"doc_id {key}, _n int, hi bigint, lo bigint, bands array<bigint>")
 
 
 def _similar(threshold: float):
@@ -222,6 +218,84 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return label
 
 
+def _frequencies(texts: DataFrame) -> np.ndarray:
+    """How many shingles of the texts fall into each slot of the hash space: tasks
+    add up what they read, Spark adds up the tasks.  Its size is fixed."""
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for batch in sliced(batches, "text", 2 << 20):
+            value = shingles(as_bytes(batch.column("text")))[1]
+            total += np.bincount(_slot(value), minlength=SLOTS)
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], names=["slot", "n"])
+
+    got = texts.select("text").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[got["slot"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def _slot(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def _rarest(frequency: np.ndarray, threshold: float):
+    """Of each text (uid, label) the shingles that come first by (frequency, hash), with
+    the weight from each of them on to the last and the whole weight.
+
+    Texts whose shared weight is ``threshold`` of the larger one or more have a first
+    shared shingle, behind which all that they share must fit: so neither of them has
+    less than that share of its weight left there, and both send it.
+    """
+
+    def rows(batches):
+        for batch in sliced(batches, "text", 2 << 20):
+            owner, value, weight, _ = shingles(as_bytes(batch.column("text")))
+            order = np.lexsort((value, frequency[_slot(value)], owner))
+            owner, value, weight = owner[order], value[order], weight[order]
+            total = np.bincount(owner, weight, batch.num_rows)
+            rest = np.cumsum(total)[owner] - np.cumsum(weight) + weight
+            sent = rest >= threshold * total[owner] * (1 - 1e-12)
+            at = pa.array(owner[sent])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("uid").take(at),
+                    batch.column("label").take(at),
+                    pa.array(value[sent].view(np.int64)),
+                    pa.array(rest[sent].astype(np.int64)),
+                    pa.array(total[owner[sent]].astype(np.int64)),
+                ],
+                names=["uid", "label", "shingle", "rest", "total"],
+            )
+
+    return rows
+
+
+def across(apart: DataFrame, ids: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of texts with different labels that may be similar: all that are,
+    and others that have a rare shingle in common."""
+    names = apart.join(ids, "uid").select("uid", "label", "doc_id", "_n")
+    same = F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("d._n") == F.col("i._n"))
+    texts = written(docs.alias("d").join(names.alias("i"), same).select("i.uid", "i.label", "d.text"), "apart-texts")
+    sent = texts.mapInArrow(_rarest(_frequencies(texts), threshold), "uid bigint, label bigint, shingle bigint, rest bigint, total bigint")
+    sent = written(sent, "rarest")
+    # a shingle of one group alone brings no pair: a group of many copies stays out of the join
+    mixed = sent.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("shingle")
+    sent = written(sent.join(mixed, "shingle", "left_semi"), "met")
+    x, y = sent.alias("x"), sent.alias("y")
+    low, high = F.least("x.total", "y.total"), F.greatest("x.total", "y.total")
+    slack = threshold * (1 - 1e-12)
+    may = (
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (F.col("x.uid") > F.col("y.uid"))
+        & (low >= high * slack)
+        & (F.least("x.rest", "y.rest") * (1 + threshold) >= (low + high) * slack)
+    )
+    return x.join(y, may).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, _n, class_id (smallest doc_id of the group) and kept (true for one
     document of each group: the one of the smallest doc_id, then the first by text)."""
@@ -245,34 +319,12 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BA
     tried = shared.filter("uid <> b").select(F.col("uid").alias("a"), "b").distinct()
     edges = links(tried, ids, named, similarity)
     label = components(reps, edges)
-    # buckets that still hold several components: pair across them
+    # texts in buckets that still hold several components: pair across these
     labelled = shared.join(label, "uid").select("band", "h", "uid", "label", "b")
     split = labelled.groupBy("band", "h").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m").select("band", "h")
     apart = written(labelled.join(split, ["band", "h"], "left_semi"), "apart")
     if not apart.limit(1).isEmpty():
-        # two texts share no more than the smaller count of each part: pairs that
-        # can't be similar by that bound are left out, and no others
-        total = F.aggregate("parts", F.lit(0), lambda t, v: t + v)
-        apart = apart.join(ids.select("uid", "bands", "parts", total.alias("total")), "uid")
-        x, y = apart.alias("x"), apart.alias("y")
-        most = F.aggregate(F.zip_with("x.parts", "y.parts", lambda a, b: F.least(a, b)), F.lit(0), lambda t, v: t + v)
-        shared_first = F.array_position(F.zip_with("x.bands", "y.bands", lambda a, b: a == b), True) - 1
-        low, high = F.least("x.total", "y.total"), F.greatest("x.total", "y.total")
-        cross = (
-            x.join(
-                y,
-                (F.col("x.band") == F.col("y.band"))
-                & (F.col("x.h") == F.col("y.h"))
-                & (F.col("x.uid") > F.col("y.uid"))
-                & (F.col("x.label") != F.col("y.label"))
-                & (F.col("y.uid") != F.col("x.b"))
-                & (F.col("x.uid") != F.col("y.b"))
-                & (low >= high * similarity)
-                & (F.col("x.band") == shared_first)  # a pair is looked at in one bucket only
-                & (most * (1 + similarity) >= (low + high) * similarity),
-            )
-            .select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
-        )
+        cross = across(apart.select("uid", "label").distinct(), ids, named, similarity)
         more = links(cross, ids, named, similarity)
         label = components(reps, edges.unionByName(more))
     group = member.join(label.withColumnRenamed("uid", "rep"), "rep").select("uid", "label")
