@@ -65,49 +65,61 @@ def join_details(
     return wide
 
 
+def _no_more_to_find(key: str, there: str) -> Column:
+    """Whether a dimension row was found, or there is no key to look for."""
+    return F.col(key).isNull() | F.coalesce(F.col(there), F.lit(False))
+
+
 def snowflake(dims: Mapping[str, DataFrame], missing: str = "keep") -> DataFrame:
-    """SKU with its SPU, trademark and category resolved.
+    """SKU with its SPU, trademark and category resolved; ``_whole`` says whether all
+    that it names was found.
 
     Joining the dimensions with one another first means the facts are joined,
     and at scale shuffled, once instead of four times.
     """
     sku = dims["DIM_SKU_INFO"].select("ID", "SKU_NAME", "PRICE", "SPU_ID", "TM_ID", "CATEGORY3_ID")
-    sku = dim_join(sku, dims["DIM_SPU_INFO"], "SPU_ID", {"SPU_NAME": "SPU_NAME"}, missing=missing)
-    sku = dim_join(sku, dims["DIM_BASE_TRADEMARK"], "TM_ID", {"TM_NAME": "TM_NAME"},
-                   missing=missing)
-    return dim_join(sku, dims["DIM_BASE_CATEGORY3"], "CATEGORY3_ID", {"CATEGORY3_NAME": "NAME"},
-                    missing=missing)
+    whole = F.lit(True)
+    for dim, key, out, name in (
+        ("DIM_SPU_INFO", "SPU_ID", "SPU_NAME", "SPU_NAME"),
+        ("DIM_BASE_TRADEMARK", "TM_ID", "TM_NAME", "TM_NAME"),
+        ("DIM_BASE_CATEGORY3", "CATEGORY3_ID", "CATEGORY3_NAME", "NAME"),
+    ):
+        sku = dim_join(sku, dims[dim], key, {out: name, f"_{key}": F.lit(True)}, missing=missing)
+        whole = whole & _no_more_to_find(key, f"_{key}")
+    return sku.withColumn("_whole", whole).drop("_SPU_ID", "_TM_ID", "_CATEGORY3_ID")
+
+
+def _and_there(columns: dict, there: str | None, mark: Column) -> dict:
+    return {**columns, there: mark} if there else columns
 
 
 def enrich_user(wide: DataFrame, users: DataFrame, as_of: Column | None = None,
-                missing: str = "keep") -> DataFrame:
-    """Gender and age of the buyer."""
-    return dim_join(wide, users, "user_id",
-                    {"user_gender": "GENDER", "user_age": age_years("BIRTHDAY", as_of)},
-                    missing=missing)
-
-
-def enrich_province(wide: DataFrame, provinces: DataFrame, missing: str = "keep") -> DataFrame:
-    """Name and codes of the province."""
-    return dim_join(wide, provinces, "province_id",
-                    {"province_name": "NAME", "province_area_code": "AREA_CODE",
-                     "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2"},
-                    missing=missing)
-
-
-def enrich_product(wide: DataFrame, flake: DataFrame, missing: str = "keep") -> DataFrame:
-    """SKU name, SPU, trademark and category of the product."""
-    return dim_join(
-        wide, flake, "sku_id",
-        {
-            "sku_name": "SKU_NAME",
-            "spu_id": F.col("SPU_ID").try_cast("bigint"),
-            "tm_id": F.col("TM_ID").try_cast("bigint"),
-            "category3_id": F.col("CATEGORY3_ID").try_cast("bigint"),
-            "spu_name": "SPU_NAME", "tm_name": "TM_NAME", "category3_name": "CATEGORY3_NAME",
-        },
-        missing=missing,
-    )
+                missing: str = "keep", there: str | None = None) -> DataFrame:
+    """Gender and age of the buyer; ``there`` names a column that is true where found."""
+    columns = {"user_gender": "GENDER", "user_age": age_years("BIRTHDAY", as_of)}
+    return dim_join(wide, users, "user_id", _and_there(columns, there, F.lit(True)), missing=missing)
+
+
+def enrich_province(wide: DataFrame, provinces: DataFrame, missing: str = "keep",
+                    there: str | None = None) -> DataFrame:
+    """Name and codes of the province; ``there`` names a column that is true where found."""
+    columns = {"province_name": "NAME", "province_area_code": "AREA_CODE",
+               "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2"}
+    return dim_join(wide, provinces, "province_id", _and_there(columns, there, F.lit(True)), missing=missing)
+
+
+def enrich_product(wide: DataFrame, flake: DataFrame, missing: str = "keep",
+                   there: str | None = None) -> DataFrame:
+    """SKU name, SPU, trademark and category of the product; ``there`` names a column
+    that is true where all of them were found."""
+    columns = {
+        "sku_name": "SKU_NAME",
+        "spu_id": F.col("SPU_ID").try_cast("bigint"),
+        "tm_id": F.col("TM_ID").try_cast("bigint"),
+        "category3_id": F.col("CATEGORY3_ID").try_cast("bigint"),
+        "spu_name": "SPU_NAME", "tm_name": "TM_NAME", "category3_name": "CATEGORY3_NAME",
+    }
+    return dim_join(wide, flake, "sku_id", _and_there(columns, there, F.col("_whole") if there else None), missing=missing)
 
 
 def enrich_order_wide(wide: DataFrame, dims: Mapping[str, DataFrame],
@@ -120,6 +132,25 @@ def enrich_order_wide(wide: DataFrame, dims: Mapping[str, DataFrame],
     return out.select([F.col(f.name).cast(f.dataType) for f in ORDER_WIDE.fields])
 
 
+def enrich_or_wait(wide: DataFrame, dims: Mapping[str, DataFrame], newest: Column, wait_ms: int,
+                   time: str = "_ot", as_of: Column | None = None) -> DataFrame:
+    """Order-wide facts with ``time`` and ``status``: ``found`` if every dimension row they
+    ask for is there, ``timeout`` if one is not and their time is more than ``wait_ms``
+    behind ``newest``, else ``waiting``.  A key that is NULL asks for nothing; a fact
+    without a time can't wait.  A fact may come again, with what it had found before."""
+    out = enrich_province(wide, dims["DIM_BASE_PROVINCE"], there="_province")
+    out = enrich_user(out, dims["DIM_USER_INFO"], as_of, there="_user")
+    out = enrich_product(out, snowflake(dims), there="_product")
+    found = (
+        _no_more_to_find("province_id", "_province")
+        & _no_more_to_find("user_id", "_user")
+        & _no_more_to_find("sku_id", "_product")
+    )
+    waiting = F.coalesce(F.unix_millis(time) + wait_ms >= newest, F.lit(False))
+    status = F.when(found, "found").when(waiting, "waiting").otherwise("timeout")
+    return out.select([F.col(f.name).cast(f.dataType) for f in ORDER_WIDE.fields] + [F.col(time), status.alias("status")])
+
+
 def join_payments(
     payments: DataFrame,
     wide: DataFrame,

@@ -214,3 +214,47 @@ def test_map_of_a_report_without_names(spark):
     top = spark.createDataFrame([("b", 2.0), (None, 1.0), ("", 4.0), ("a", 2.0)], "tm_name string, order_amount double")
     assert list(reports.as_map(top).first().amounts.items()) == [("", 5.0), ("a", 2.0), ("b", 2.0)]
     assert reports.as_map(top.limit(0)).first().amounts == {}
+
+
+def test_carried_rows_of_a_batch_that_runs_again(spark, tmp_path):
+    from tallybrook.sinks.history import Carried
+
+    c = Carried(spark, str(tmp_path / "c"), "a int")
+
+    def rows(*values):
+        return spark.createDataFrame([(v,) for v in values], "a int")
+
+    def seen(batch_id):
+        return sorted(r.a for r in c.read(batch_id).collect())
+
+    assert seen(0) == []
+    c.write(rows(1, 2), 0)
+    c.write(rows(), 1)
+    assert seen(1) == [1, 2] and seen(2) == []
+    c.write(rows(3), 1)  # the batch runs again
+    assert seen(1) == [1, 2] and seen(2) == [3]
+    c.write(rows(4), 2)
+    assert seen(2) == [3] and seen(3) == [4]
+    assert len([p for p in (tmp_path / "c").iterdir()]) == 2
+
+
+def test_facts_that_wait_for_their_dimensions(spark):
+    from tallybrook import schemas
+    from tallybrook.operators import wide
+
+    rows = spark.createDataFrame(
+        [(1, 7, None, None, 100), (2, 8, None, None, 100), (3, 8, None, None, 20), (4, None, None, 5, 100),
+         (5, None, None, 6, 100), (6, None, 1, None, 100), (7, None, None, None, None), (8, 8, None, None, None)],
+        "detail_id bigint, user_id bigint, province_id bigint, sku_id bigint, at bigint")
+    fields = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in schemas.ORDER_WIDE.fields]
+    rows = rows.select(*fields, F.timestamp_millis("at").alias("_ot"))
+    dims = {n: spark.createDataFrame([], ", ".join(f"{c} string" for c in cols)) for n, cols in schemas.DIM_COLUMNS.items()}
+    dims["DIM_USER_INFO"] = spark.createDataFrame([("7", None, None)], "ID string, GENDER string, BIRTHDAY string")
+    sku = "ID string, SKU_NAME string, PRICE string, SPU_ID string, TM_ID string, CATEGORY3_ID string"
+    # product 5 names a trademark that is not there yet, product 6 names nothing
+    dims["DIM_SKU_INFO"] = spark.createDataFrame([("5", "a", "1", None, "9", None), ("6", "b", "1", None, None, None)], sku)
+    out = {r.detail_id: r for r in wide.enrich_or_wait(rows, dims, F.lit(130), 60).collect()}
+    got = {k: r.status for k, r in out.items()}
+    assert got == {1: "found", 2: "waiting", 3: "timeout", 4: "waiting", 5: "found", 6: "waiting", 7: "found", 8: "timeout"}
+    assert out[4].sku_name == "a" and out[6].province_name is None
