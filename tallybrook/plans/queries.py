@@ -117,8 +117,8 @@ def log_pass_through(spark: SparkSession, folder: str) -> DataFrame:
     """Page records with fields that no schema declares, as written on."""
     lines = derive.log_lines(table(spark, folder, "events"))
     more = F.concat(
-        F.regexp_replace("value", r"\}$", ""), F.lit(',"err":{"code":'), F.col("seq").cast("string"),
-        F.lit(',"tags":["a","b"]}}'),
+        F.regexp_replace("value", r"\}$", ""), F.lit(',"seq":'), F.col("seq").cast("string"),
+        F.lit(',"err":{"code":'), F.col("seq").cast("string"), F.lit(',"tags":["a","b"]}}'),
     )
     good = good_lines(parse_log(lines.withColumn("value", more), keep=("seq",)))
     pages_ = logs.page_logs(good).withColumn("was", F.col("common.is_new"))
@@ -132,6 +132,7 @@ def log_pass_through(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object(value, "$.err.code").cast("bigint").alias("code"),
         F.get_json_object(value, "$.err.tags[1]").alias("tag"),
         F.get_json_object(value, "$.page.page_id").alias("page_id"),
+        F.get_json_object(value, "$.seq").cast("bigint").alias("written_seq"),
     )
 
 
