@@ -92,7 +92,10 @@ def enriched(spark: SparkSession, folder: str, span: int, missing: str = "keep")
 
 def payments_wide(spark: SparkSession, folder: str) -> DataFrame:
     paid = derive.payment_info(table(spark, folder, "orders"))
-    return wide.join_payments(paid, enriched(spark, folder, EVER), -MONTH, 5_000)
+    facts = wide.join_enriched(
+        orders(spark, folder), details(spark, folder), derive.dims(spark, folder), -EVER, EVER, derive.as_of()
+    )
+    return wide.join_payments(paid, facts, -MONTH, 5_000)
 
 
 # -- logs --------------------------------------------------------------------
