@@ -25,6 +25,10 @@ RUNTIME_CONF = {
     # transformWithState needs RocksDB; changelog checkpoints keep commits small
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a join of streams keeps one store per partition instead of four, and no write
+    # looks its key up only to count rows
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 # Settings that only count when a session is built.

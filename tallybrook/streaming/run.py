@@ -7,33 +7,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 # a checkpoint every five seconds, as the jobs' settings ask
 TRIGGER = {"processingTime": "5 seconds"}
 ONCE = {"availableNow": True}
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _start(df: DataFrame, w: DataStreamWriter, trigger: dict | None, idle: bool) -> StreamingQuery:
+    w = w.trigger(**(trigger or TRIGGER))
+    if idle:
+        return w.start()
+    conf = df.sparkSession.conf
+    had = conf.get(NO_DATA)
+    conf.set(NO_DATA, "false")  # a query keeps the settings it was started with
+    try:
+        return w.start()
+    finally:
+        conf.set(NO_DATA, had)
 
 
 def start(df: DataFrame, checkpoint: str, name: str | None = None, sink: str = "parquet",
-          trigger: dict | None = None, mode: str = "append", **options: str) -> StreamingQuery:
+          trigger: dict | None = None, mode: str = "append", idle: bool = True, **options: str) -> StreamingQuery:
     """Start a query with its own checkpoint; append mode, so every row of a
-    window comes once, after the watermark has closed it."""
+    window comes once, after the watermark has closed it.
+
+    ``idle=False`` runs no micro-batch without new rows.  It is for queries that emit
+    nothing when only time has passed, such as an inner join of two streams; state that
+    has expired then goes with the next rows.
+    """
     w = df.writeStream.format(sink).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    return w.options(**options).trigger(**(trigger or TRIGGER)).start()
+    return _start(df, w.options(**options), trigger, idle)
 
 
 def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-                  name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                  name: str | None = None, trigger: dict | None = None, idle: bool = True) -> StreamingQuery:
     """Start a query whose micro-batches go through ``write(frame, batch_id)``.
 
     ``foreachBatch`` may run a batch again after a failure, so ``write`` must
-    replace what the same ``batch_id`` wrote before.
+    replace what the same ``batch_id`` wrote before.  ``idle`` as in :func:`start`.
     """
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    return w.trigger(**(trigger or TRIGGER)).start()
+    return _start(df, w, trigger, idle)
 
 
 def debug_print(df: DataFrame, checkpoint: str, prefix: str,

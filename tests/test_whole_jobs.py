@@ -2,7 +2,11 @@
 
 import datetime as dt
 
+from tallybrook.operators import stats, wide
+from tallybrook.plans import derive, queries
 from tallybrook.plans.queries import QUERIES
+from tallybrook.sources.files import table, table_stream
+from tallybrook.streaming import run
 
 
 def events(spark, folder, rows):
@@ -18,3 +22,80 @@ def test_passed_records_show_their_number(spark, tmp_path):
     folder = events(spark, tmp_path, [(1, 0, 7, "view", 3), (2, 1, 7, "view", 4), (10, 2, 7, "view", 5), (11, 3, 8, "signup", 5), (12, 4, 8, "click", 5)])
     got = QUERIES["log_pass_through"](spark, folder).orderBy("seq").collect()
     assert [(r.seq, r.code, r.written_seq, r.is_new) for r in got] == [(1, 1, 1, "1"), (2, 2, 2, "0"), (12, 12, 12, "0")]
+
+
+def shop(spark, folder):
+    """Orders with lines, buyers (one of them twice), parts, and a line without any order."""
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    tables = {
+        "customer": ([(1, "c1", 0, "A"), (2, "c2", 1, "B"), (2, "c2", 1, "B")], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"),
+        "orders": ([(k, 1 + k % 3, "O", 10.0 * k, day(k), "1-URGENT") for k in range(1, 9)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(k, n, 1 + (k + n) % 4, n, 2.5 * n, 0.1, 0.2, "R" if k % 2 else "N", day(k + n)) for k in range(1, 10) for n in (1, 2, 2)],
+                     "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity int, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp"),
+        "part": ([(k, f"p{k}", f"Brand#{k % 2}", "PROMO", k, 1.5 * k) for k in range(1, 4)],
+                 "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "supplier": ([(k, f"s{k}") for k in (1, 4)], "s_suppkey bigint, s_name string"),
+        "nation": ([(0, "N0", 0), (1, "N1", 9)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "R0")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, shape) in tables.items():
+        spark.createDataFrame(rows, shape).write.parquet(f"{folder}/{name}.parquet")
+    return events(spark, folder, [(i, 60 * i, i % 3, ("view", "click", "signup", "error")[i % 4], i % 5) for i in range(20)])
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_joined_with_payments_where_they_lie(spark, tmp_path):
+    folder, limit = shop(spark, tmp_path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        late = wide.join_payments(
+            derive.payment_info(table(spark, folder, "orders")), queries.enriched(spark, folder, queries.EVER), -queries.MONTH, 5_000)
+        first = queries.payments_wide(spark, folder)
+        # the facts are not shuffled by order once more
+        by_order = [plan(df).count("Exchange hashpartitioning(order_id") for df in (late, first)]
+        assert by_order[1] == by_order[0] - 1, by_order
+        want = sorted(map(str, late.collect()))
+        assert sorted(map(str, first.collect())) == want and len(want) > 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_products_are_summed_by_order_without_a_shuffle(spark, tmp_path):
+    folder, limit = shop(spark, tmp_path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    frames, dims = queries.product_rows(spark, folder), derive.product_dims(spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in frames[3:5]:  # orders, payments: placed by order
+            alone, given = plan(stats._per_id(frame, "1 day")), plan(frame)
+            assert alone.count("Exchange") == given.count("Exchange")
+        split = stats.product_stats(frames, dims, "1 day")
+        whole = stats.enrich_product_stats(stats.product_measures(stats.union_all(frames), "1 day"), wide.snowflake(dims))
+        want = sorted(map(str, whole.collect()))
+        assert sorted(map(str, split.collect())) == want and len(want) > 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_each_report_stores_its_own_table(spark, tmp_path):
+    folder = shop(spark, tmp_path)
+    paths = [queries.daily_products(spark, folder, 20240102).inputFiles()[0] for _ in range(2)]
+    assert paths[0] != paths[1]
+
+
+def test_joined_streams_keep_one_store(spark, tmp_path):
+    folder = shop(spark, tmp_path)
+    assert spark.conf.get("spark.sql.streaming.join.stateFormatVersion") == "3"
+    before = spark.conf.get(run.NO_DATA)
+    o = derive.order_info(table_stream(spark, folder, "orders"), table(spark, folder, "customer"))
+    joined = wide.join_details(o, derive.order_detail(table_stream(spark, folder, "lineitem")), -queries.MONTH, queries.MONTH).drop("_ot")
+    q = run.start(joined, str(tmp_path / "cp"), trigger=run.ONCE, path=str(tmp_path / "out"), idle=False)
+    q.awaitTermination()
+    assert [p["numInputRows"] > 0 for p in q.recentProgress] == [True] and spark.conf.get(run.NO_DATA) == before
+    stores = {p.name for p in (tmp_path / "cp" / "state" / "0" / "0").iterdir() if p.is_dir() and not p.name.startswith("_")}
+    assert not any("left" in s or "right" in s for s in stores)
+    # 24 lines of orders 1 to 8, those of customer 2 twice
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 24 + 3 * 3
