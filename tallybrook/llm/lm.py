@@ -25,7 +25,8 @@ occurs.
 Training passes over all training documents once.  Each task makes AdaGrad steps
 over its own, and the tasks' weights are averaged in blocks of rows, weighted by
 tokens.  Counts are exact: runs of documents send each distinct word once, as a
-64-bit hash, to the bucket that sums it, and get the sums back the same way.
+64-bit hash, to the bucket that sums it, and get the sums back in the same order.
+Texts are split once: a run keeps the hashes of its words and its tokens as numbers.
 
 A NULL or empty text is its end alone.  Rows that share a doc_id are scored
 each.  Without training tokens every score is that of an empty model.
@@ -68,6 +69,7 @@ def word_hash(word: bytes) -> int:
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words of some texts, the end among them; all tokens
     as places in that list, an end after each text; how many tokens each has."""
+    texts = pa.concat_arrays([texts])  # of a slice, the lists below would begin where its parent does
     low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     lists = pc.ascii_split_whitespace(low)  # just the ASCII white space
     coded = lists.flatten().dictionary_encode()
@@ -90,62 +92,88 @@ def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def runs_of(docs: DataFrame) -> DataFrame:
-    """Rows (run, value): documents packed as they lie, about 8 MB of text to a
-    run, written once so that a run's number stays what it is."""
+    """Rows (run, value): the tokens of documents packed as they lie, about 8 MB of
+    text to a run, written once so that a run's number stays what it is."""
 
     def rows(batches):
         base = TaskContext.get().partitionId() << 32
         for i, batch in enumerate(sliced(batches, "text", RUN_BYTES)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([base + i], pa.int64()), pa.array([pack(pa.Table.from_batches([batch]))], pa.binary())], names=["run", "value"]
-            )
+            words, place, sizes = tokens_of(batch.column("text"))
+            lists = {"doc_id": batch.column("doc_id"), "word": words, "size": sizes, **planes("place", place.astype(np.uint32))}
+            value = pack(pa.table({name: pa.array([x]) if isinstance(x, np.ndarray) else pa.array([x.to_pylist()], pa.list_(x.type)) for name, x in lists.items()}))
+            yield pa.RecordBatch.from_arrays([pa.array([base + i], pa.int64()), pa.array([value], pa.binary())], names=["run", "value"])
 
     return written(docs.select("doc_id", "text").mapInArrow(rows, "run bigint, value binary"), "runs")
 
 
+def planes(name: str, numbers: np.ndarray) -> dict[str, np.ndarray]:
+    """32-bit values as four columns of bytes, which compress better apart."""
+    return {f"{name}{i}": plane for i, plane in enumerate(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T))}
+
+
+def from_planes(part: pa.Table, name: str, kind: type) -> np.ndarray:
+    parts = [part[f"{name}{i}"].combine_chunks() for i in range(4)]
+    parts = [x.values if pa.types.is_list(x.type) else x for x in parts]
+    return np.stack([x.to_numpy() for x in parts], 1).view(kind).ravel()
+
+
 def _open(value: bytes) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ids, held-out flags, and tokens_of the texts of a run."""
     table = unpack(value)
-    ids = table["doc_id"].to_pylist()
-    return ids, np.array([held_out(i) for i in ids], bool), *tokens_of(table["text"].combine_chunks())
+    ids = table["doc_id"][0].as_py()
+    words, sizes = (table[c].combine_chunks().values.to_numpy() for c in ("word", "size"))
+    place = from_planes(table, "place", np.uint32).astype(np.int64)
+    return ids, np.array([held_out(i) for i in ids], bool), words, place, sizes
+
+
+def _by_bucket(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words in order and the number of each word among them; their order
+    by buckets, and the edges of the buckets in it."""
+    distinct, number = np.unique(words, return_inverse=True)  # the end comes twice if it was a word
+    bucket = bucket_of(distinct, buckets)
+    order = np.argsort(bucket, kind="stable")
+    return distinct, number, order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _counted(out: np.ndarray, words: np.ndarray, place: np.ndarray, sizes: np.ndarray, buckets: int, least: int):
+    """Per bucket that has some: a run's distinct words that occur ``least`` times in
+    training, with their training counts."""
+    count = np.bincount(place, np.repeat(~out, sizes), len(words)).astype(np.int64)
+    distinct, number, order, edges = _by_bucket(words, buckets)
+    count = np.bincount(number, count, len(distinct)).astype(np.int64)
+    for b, (start, end) in enumerate(zip(edges[:-1], edges[1:])):
+        some = order[start:end]
+        some = some[count[some] >= least]
+        if len(some):
+            yield b, pack(pa.table({"word": np.diff(distinct[some], prepend=0), "n": count[some]}))
 
 
 def _requests(buckets: int):
-    """Of each run, per bucket: its distinct words and their training counts."""
+    """Of each run, per bucket: its distinct training words and their counts."""
 
     def rows(batches):
         for batch in batches:
-            for run, value in zip(batch.column("run").to_pylist(), batch.column("value").to_pylist()):
+            for value in batch.column("value").to_pylist():
                 _, out, words, place, sizes = _open(value)
-                count = np.bincount(place, np.repeat(~out, sizes), len(words)).astype(np.int64)
-                words, number = np.unique(words, return_inverse=True)  # the end comes twice if it was a word
-                count = np.bincount(number, count, len(words)).astype(np.int64)
-                bucket = bucket_of(words, buckets)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                values = [
-                    pack(pa.table({"word": np.diff(words[order[a:b]], prepend=0), "n": count[order[a:b]]}))
-                    for a, b in zip(edges[:-1], edges[1:])
-                ]
+                found = list(_counted(out, words, place, sizes, buckets, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(buckets), pa.int32()), pa.array([run] * buckets, pa.int64()), pa.array(values, pa.binary())],
-                    names=["bucket", "run", "value"],
+                    [pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "value"]
                 )
 
     return rows
 
 
-def _totals(rows: pa.Table) -> tuple[list, list, np.ndarray, np.ndarray]:
+def _totals(rows: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
     parts = [unpack(b) for b in rows["value"].to_pylist()]
     words = [np.cumsum(p["word"].to_numpy()) for p in parts]
     distinct, number = np.unique(np.concatenate(words), return_inverse=True)
     count = np.bincount(number, np.concatenate([p["n"].to_numpy() for p in parts]), len(distinct)).astype(np.int64)
-    return rows["run"].to_pylist(), words, distinct, count
+    return words, distinct, count
 
 
 def _best(rows: pa.Table) -> pa.Table:
     """One bucket's share of the totals and its most frequent words."""
-    _, _, distinct, count = _totals(rows)
+    _, distinct, count = _totals(rows)
     top = np.lexsort((distinct, -count))[: CLASSES * CLASSES]
     top = top[count[top] > 0]
     return pa.table(
@@ -235,9 +263,9 @@ class Model:
 
     @staticmethod
     def _sum(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        out = weights[rows[:, 0]]
+        out = weights.take(rows[:, 0], 0)
         for i in range(1, rows.shape[1]):
-            out += weights[rows[:, i]]
+            out += weights.take(rows[:, i], 0)
         return out
 
     def log10(self, before: np.ndarray, word: np.ndarray, names: np.ndarray = NUMBERS) -> np.ndarray:
@@ -278,12 +306,13 @@ class Trainer(Model):
     @staticmethod
     def _step(weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
         """AdaGrad with one pace per row; a row met several times takes the sum."""
-        flat = rows.T.ravel()
-        order = np.argsort(flat, kind="stable")
-        flat = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        total = np.add.reduceat(gradient[order % len(gradient)], first)
-        at = flat[first]
+        at = np.flatnonzero(np.bincount(rows.ravel(), minlength=len(weights)))
+        of = np.empty(len(weights), np.int64)
+        of[at] = np.arange(0, len(at) * CLASSES, CLASSES)
+        total = np.zeros(len(at) * CLASSES, np.float32)
+        for i in range(rows.shape[1]):
+            np.add.at(total, (of[rows[:, i]][:, None] + np.arange(CLASSES)).ravel(), gradient.ravel())
+        total = total.reshape(-1, CLASSES)
         sums[at] += (total * total).mean(1)
         weights[at] -= RATE * total / np.sqrt(sums[at])[:, None]
 
@@ -327,9 +356,10 @@ def _rare_tokens(vocabulary: Vocabulary, buckets: int, hashes: np.ndarray, place
 
 
 def _events(vocabulary: Vocabulary, buckets: int):
-    """Of each run, per bucket: its tokens outside the vocabulary, as numbers among
-    the run's sorted distinct words of the bucket, each with 32 bits of the hashes
-    of the two words before it and whether it is for training."""
+    """Of each run, per bucket: its distinct words with their training counts (kind 0);
+    its tokens outside the vocabulary, as numbers among these words, each with 32 bits
+    of the hashes of the two words before it, as numbers among all of them, and
+    whether it is for training (kind 1)."""
 
     def rows(batches):
         for batch in batches:
@@ -339,20 +369,22 @@ def _events(vocabulary: Vocabulary, buckets: int):
                 before, names = history(place, sizes, hashes)
                 short = ((names * K[1]) >> np.uint64(32)).astype(np.uint32)
                 at, edges = _rare_tokens(vocabulary, buckets, hashes, place)
-                distinct, number = np.unique(hashes, return_inverse=True)
-                bucket = bucket_of(distinct, buckets)
-                order = np.argsort(bucket, kind="stable")
+                distinct, number, order, starts = _by_bucket(hashes, buckets)
                 within = np.empty(len(distinct), np.int64)
-                within[order] = np.arange(len(order)) - np.searchsorted(bucket[order], bucket[order])
+                within[order] = np.arange(len(order)) - np.repeat(starts[:-1], np.diff(starts))
                 number = within[number][place[at]].astype(np.int32)
                 one, two = (short[x] for x in np.divmod(before[at], len(names)))
-                full = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-                values = [
-                    pack(pa.table({"word": number[s], "one": one[s], "two": two[s], "use": use[at[s]]}))
-                    for s in (slice(edges[b], edges[b + 1]) for b in full)
-                ]
+                found = [(b, 0, x) for b, x in _counted(out, hashes, place, sizes, buckets, 0)]
+                for b in range(buckets):
+                    s = slice(edges[b], edges[b + 1])
+                    if edges[b] < edges[b + 1]:
+                        words, pair = np.unique(np.concatenate([one[s], two[s]]), return_inverse=True)
+                        pair = pair.astype(np.uint32).reshape(2, -1)
+                        event = pa.table({**planes("word", number[s]), **planes("one", pair[0]), **planes("two", pair[1]), "use": use[at[s]]})
+                        found += [(b, 1, pack(event)), (b, 2, pack(pa.table({"short": np.diff(words, prepend=np.uint32(0))})))]
+                bucket, kind, values = zip(*found)  # every text has its end
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([run] * len(full), pa.int64()), pa.array([1] * len(full), pa.int32()), pa.array(values, pa.binary())],
+                    [pa.array(bucket, pa.int32()), pa.array([run] * len(found), pa.int64()), pa.array(kind, pa.int32()), pa.array(values, pa.binary())],
                     names=["bucket", "run", "kind", "value"],
                 )
 
@@ -379,10 +411,12 @@ def _replies(vocabulary: Vocabulary, n_rare: int, v_rare: int, buckets: int):
 
     def rows(table: pa.Table) -> pa.Table:
         table = table.sort_by([("kind", "ascending"), ("run", "ascending")])
-        bucket, events = table["bucket"][0].as_py(), pc.equal(table["kind"], 1)
-        runs, words, distinct, count = _totals(table.filter(pc.invert(events)))
+        bucket, kinds = table["bucket"][0].as_py(), table["kind"].to_numpy()
+        of = [table.filter(pa.array(kinds == k)) for k in range(3)]
+        runs = of[0]["run"].to_pylist()
+        words, distinct, count = _totals(of[0])
         counts = [count[np.searchsorted(distinct, w)] for w in words]
-        out = [(run, 1, pack(pa.table({"word": np.diff(w, prepend=0), "n": c}))) for run, w, c in zip(runs, words, counts)]
+        out = [(run, 1, pack(pa.table({"n": c}))) for run, c in zip(runs, counts)]
         keep = (vocabulary.of(distinct) == RARE) & (count > 0)
         n, v = int(count[keep].sum()), int(keep.sum())
         top = np.lexsort((distinct, -np.where(keep, count, 0)))[: CLASSES * (CLASSES - 1)]
@@ -392,19 +426,18 @@ def _replies(vocabulary: Vocabulary, n_rare: int, v_rare: int, buckets: int):
         model = _started(count[top], others)
         share = np.log10((n + v + 1) / (n_rare + v_rare + buckets))
         of_run, given = dict(zip(runs, zip(words, counts))), []
-        asked = table.filter(events)
-        for run, value in zip(asked["run"].to_pylist(), asked["value"].to_pylist()):
+        for run, value, short in zip(of[1]["run"].to_pylist(), of[1]["value"].to_pylist(), of[2]["value"].to_pylist()):
             part = unpack(value)
-            word, one, two, use = (part[c].to_numpy() for c in ("word", "one", "two", "use"))
-            names, place = np.unique(np.concatenate([one, two]), return_inverse=True)
-            before = place[: len(one)] * len(names) + place[len(one) :]
+            word, use = from_planes(part, "word", np.int32), part["use"].to_numpy()
+            names = np.cumsum(unpack(short)["short"].to_numpy(), dtype=np.uint32)
+            before = from_planes(part, "one", np.uint32).astype(np.int64) * len(names) + from_planes(part, "two", np.uint32)
             number, c = local.of(of_run[run][0])[word], of_run[run][1][word]
             names = names.astype(np.uint64)
             model.learn(before[use], number[use], names)
             given.append((run, before, number, names, c))
         for run, before, number, names, c in given:
             p = share + model.log10(before, number, names) + np.where(number == RARE, np.log10((c + 1) / others), 0.0)
-            out.append((run, 2, pack(pa.table({"p": p.astype(np.float32)}))))
+            out.append((run, 2, pack(pa.table(planes("p", p.astype(np.float32))))))
         run, kind, value = zip(*out)
         return pa.table(
             {
@@ -428,13 +461,13 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, buckets: int):
     def rows(table: pa.Table) -> pa.Table:
         values = table["value"].to_pylist()
         kinds = table["kind"].to_pylist()
-        parts = [unpack(b) for b, k in zip(values, kinds) if k == 1]
-        word = np.concatenate([np.cumsum(p["word"].to_numpy()) for p in parts])
-        count = np.concatenate([p["n"].to_numpy() for p in parts])
-        order = np.argsort(word)
-        word, count = word[order], count[order]
         ids, out, hashes, place, sizes = _open(next(b for b, k in zip(values, kinds) if k == 0))
-        c = count[np.searchsorted(word, hashes)][place]
+        answers = sorted(zip(kinds, table["bucket"].to_pylist(), range(len(values))))
+        counts = [unpack(values[i])["n"].to_numpy() for k, _, i in answers if k == 1]
+        distinct, of, order, _ = _by_bucket(hashes, buckets)
+        count = np.empty(len(distinct), np.int64)
+        count[order] = np.concatenate(counts)
+        c = count[of][place]
         first = np.cumsum(sizes) - sizes
         add = lambda a: np.add.reduceat(a, first)  # noqa: E731  every text has its end
         number = vocabulary.of(hashes)[place]
@@ -442,8 +475,7 @@ def _score(model: Model, vocabulary: Vocabulary, n: int, v: int, buckets: int):
         own = model.log10(before, number, names)
         at, _ = _rare_tokens(vocabulary, buckets, hashes, place)
         if len(at):
-            answers = sorted((b, x) for b, x, k in zip(table["bucket"].to_pylist(), values, kinds) if k == 2)
-            own[at] += np.concatenate([unpack(x)["p"].to_numpy() for _, x in answers])
+            own[at] += np.concatenate([from_planes(unpack(values[i]), "p", np.float32) for k, _, i in answers if k == 2])
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
@@ -464,10 +496,9 @@ def score(docs: DataFrame) -> DataFrame:
     every document."""
     buckets = int(max(32, text_bytes(docs) // BUCKET_BYTES))
     runs = runs_of(docs)
-    asked = written(runs.mapInArrow(_requests(buckets), "bucket int, run bigint, value binary"), "words")
-    by_bucket = asked.groupBy("bucket")
+    asked = runs.mapInArrow(_requests(buckets), "bucket int, value binary")
     # at most 1024 words and one row of totals from each bucket
-    best = written(by_bucket.applyInArrow(_best, "word bigint, n bigint, v bigint"), "frequent")
+    best = written(asked.groupBy("bucket").applyInArrow(_best, "word bigint, n bigint, v bigint"), "frequent")
     n, v = best.filter("word = -1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).head()
     top = best.filter("word >= 0").orderBy(F.desc("n"), "word").limit(CLASSES * (CLASSES - 1)).toArrow()
     end = word_hash(END)
@@ -489,11 +520,8 @@ def score(docs: DataFrame) -> DataFrame:
     model = Model(both[: ROWS + 1], both[ROWS + 1 :]) if len(both) else Model()
     events = runs.mapInArrow(_events(vocabulary, buckets), "bucket int, run bigint, kind int, value binary")
     v_rare = v - len(frequent)
-    replies = (
-        asked.select("bucket", "run", F.lit(0).alias("kind"), "value")
-        .unionByName(events)
-        .groupBy("bucket")
-        .applyInArrow(_replies(vocabulary, n_rare, v_rare, buckets), "run bigint, kind int, bucket int, value binary")
+    replies = events.groupBy("bucket").applyInArrow(
+        _replies(vocabulary, n_rare, v_rare, buckets), "run bigint, kind int, bucket int, value binary"
     )
     rows = runs.select("run", F.lit(0).alias("kind"), F.lit(-1).alias("bucket"), "value").unionByName(replies)
     return rows.groupBy("run").applyInArrow(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tallybrook.llm import lm
 
@@ -48,3 +49,24 @@ def test_a_bucket_sums_to_one():
     assert np.allclose(10.0 ** model.log10(np.repeat(before[:1], 701), every), shares, rtol=1e-3)
     model.learn(before, rng.choice(every, 4000))
     assert abs((10.0 ** model.log10(np.repeat(before[:1], 701), every)).sum() - 1) < 1e-3
+
+
+def test_messages_are_small(spark):
+    """Bytes that runs and buckets exchange, per token outside the vocabulary."""
+    rng = np.random.default_rng(8)
+    words = (rng.zipf(1.2, 150_000) % 30_000).reshape(300, 500)
+    docs = spark.createDataFrame([(i, " ".join(map("w{}".format, row))) for i, row in enumerate(words.tolist())], SCHEMA)
+    runs = lm.runs_of(docs.coalesce(1))
+    frequent = [lm.word_hash(b"w%d" % i) for i in range(1, 993)]
+    vocabulary, names = lm.Vocabulary(np.array(frequent)), "bucket int, run bigint, kind int, value binary"
+    events = runs.mapInArrow(lm._events(vocabulary, 4), names)
+    replies = events.groupBy("bucket").applyInArrow(lm._replies(vocabulary, 60_000, 20_000, 4), "run bigint, kind int, bucket int, value binary")
+    asked, answered = (sum(len(r.value) for r in x.collect()) for x in (events, replies))
+    rare = int(((words > 992) | (words == 0)).sum())
+    assert asked < 11.5 * rare and answered < 3.5 * rare
+
+
+def test_a_slice_has_the_tokens_of_its_texts():
+    texts = pa.array(["a b c", "d", "e f", "g h i j"])
+    for some in (texts, texts.slice(1), texts.slice(2, 1)):
+        assert lm.tokens_of(some)[2].tolist() == [len(t.split()) + 1 for t in some.to_pylist()]
