@@ -22,7 +22,38 @@ RAW = "\x01"  # marks a piece without a space before it
 LIMIT = 900_000
 
 
-class Encoder:
+class Pieces:
+    """Ids of the pieces of text met so far, all in one array; ``known`` has a piece's number."""
+
+    def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(1 << 20, np.uint32)
+        self.ends = np.zeros(LIMIT + 1, np.int64)  # piece i has ids[ends[i]:ends[i + 1]]
+
+    def add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Pieces with the ids of all of them, one piece after the other."""
+        n = len(self.known)
+        start = self.ends[n]
+        while start + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[start : start + len(ids)] = ids
+        while n + len(pieces) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ends[n + 1 : n + 1 + len(pieces)] = start + np.cumsum(lengths)
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
+
+    def ids_of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in a row, and where each piece's begin and the last one's end."""
+        start = self.ends[number]
+        length = self.ends[number + 1] - start
+        at = np.concatenate([[0], np.cumsum(length)])
+        return self.ids[np.arange(at[-1]) + np.repeat(start - at[:-1], length)], at
+
+
+class Encoder(Pieces):
     """``kind`` is "word" (white space separates and vanishes) or "byte"
     (a word carries the space before it)."""
 
@@ -35,23 +66,7 @@ class Encoder:
         self.model.no_padding()
         self.kind = kind
         self.separator = self.model.token_to_id(SEPARATOR)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.empty(1 << 20, np.uint32)
-        self.ends = np.zeros(LIMIT + 1, np.int64)  # piece i has ids[ends[i]:ends[i + 1]]
-
-    def _add(self, piece: str, ids: np.ndarray) -> None:
-        n = len(self.known)
-        start, stop = self.ends[n], self.ends[n] + len(ids)
-        while stop > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[start:stop] = ids
-        if n + 2 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ends[n + 1] = stop
-        self.known[piece] = n
+        super().__init__()
 
     def _plain(self, piece: str) -> str:
         if self.kind == "word":
@@ -63,19 +78,21 @@ class Encoder:
         the end-of-text token between them: the model never joins what stands
         beside a token of that kind, and one long text costs less than many."""
         if len(self.known) > LIMIT:
-            self._forget()
-        new = [p for p in pieces if p not in self.known]
+            self.forget()
+        number = list(map(self.known.get, pieces))
+        new = [p for p, n in zip(pieces, number) if n is None]
+        if not new:
+            return np.array(number, np.int64)
         plain = [p for p in new if "<|" not in p]
         for i in range(0, len(plain), 1000):
             some = plain[i : i + 1000]
             ids = self._encode(SEPARATOR.join(map(self._plain, some)))
-            ends = np.append(np.flatnonzero(ids == self.separator), len(ids)).tolist()
-            start = 0
-            for p, end in zip(some, ends, strict=True):
-                self._add(p, ids[start:end])
-                start = end + 1
+            ends = np.flatnonzero(ids == self.separator)
+            assert len(ends) == len(some) - 1
+            self.add(some, np.delete(ids, ends), np.diff(ends, prepend=-1, append=len(ids)) - 1)
         for p in set(new) - set(plain):
-            self._add(p, self._encode(self._plain(p)))
+            ids = self._encode(self._plain(p))
+            self.add([p], ids, np.array([len(ids)]))
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def _encode(self, text: str) -> np.ndarray:
@@ -100,10 +117,7 @@ class Encoder:
             lists = pc.split_pattern(pc.binary_join_element_wise(*(pa.scalar(x, pa.large_string()) if isinstance(x, str) else x for x in (RAW, cut, ""))), " ")
         coded = lists.flatten().dictionary_encode()
         number = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        start = self.ends[number]
-        length = self.ends[number + 1] - start
-        at = np.concatenate([[0], np.cumsum(length)])
-        ids = self.ids[np.arange(at[-1]) + np.repeat(start - at[:-1], length)]
+        ids, at = self.ids_of(number)
         offsets = at[lists.offsets.to_numpy()]
         if whole.any():
             parts = np.split(ids, offsets[1:-1])

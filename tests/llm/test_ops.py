@@ -460,3 +460,14 @@ def test_lm_sums_to_one():
     model.learn(before, word)
     every = np.concatenate([[lm.RARE], np.arange(32, 1024)])
     assert (10.0 ** model.log10(np.repeat(before[:1], 993), every)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_pieces_are_learned_many_at_a_time(monkeypatch):
+    store, calls = Encoder(tokenizer("byte_bpe_50k.json"), "byte"), []
+    model, add = library("byte_bpe_50k.json"), Encoder.add
+    monkeypatch.setattr(Encoder, "add", lambda self, pieces, *rest: calls.append(len(pieces)) or add(self, pieces, *rest))
+    texts = [" ".join(f"w{i * 7 + k}x" for k in range(40)) for i in range(100)] + ["", "a <|b <|endoftext|> c w1x", "w1x. w2x,\nw3x"]
+    for _ in range(2):
+        ids, at = store.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(calls) == len(store.known) and len(calls) < 10
