@@ -19,6 +19,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from tallybrook.llm.common import sliced, worker_cache
+from tallybrook.llm.tokens import Pieces
 
 END = 0x1000  # added to the code of a symbol that ends a word
 NEVER = 1 << 60
 LIMIT = 300_000
+KEPT = 700_000  # pieces of text whose ids a worker keeps
 HEAD = 6  # symbols whose state is kept for the next word that begins with them
 
 
@@ -56,6 +59,7 @@ class Transducer:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        self.mark = commonprefix(list(self.special))  # a text without it holds no special token
         merges = [(self._symbols(a), self._symbols(b)) for a, b in model["merges"]]
         self.rank = {pair: r for r, pair in enumerate(merges)}
         self.parts = {a + b: (a, b) for a, b in merges}
@@ -74,6 +78,7 @@ class Transducer:
         self.may_follow = lru_cache(LIMIT)(self._may_follow)
         self.begun: dict[str, list[str]] = {}
         self.name_of = {i: t.encode("utf-8") for i, t in self.text_of.items()}
+        self.decoder = codecs.getincrementaldecoder("utf-8")
         self.symbols = byte_symbols()
         self.byte = {c: b for b, c in enumerate(self.symbols)}
 
@@ -115,9 +120,6 @@ class Transducer:
     def tokens(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of one word, each as soon as it is stable."""
         hold = self.lookahead + self.longest
-        if isinstance(symbols, str) and len(symbols) < 2 * hold:
-            yield from self._short(symbols)
-            return
         text, last = "", [""]  # the window's symbols; the last token of each prefix
         for c in symbols:
             text += c
@@ -148,11 +150,16 @@ class Transducer:
             at -= len(last[at])
         yield from reversed(out)
 
+    def word_ids(self, symbols: str) -> list[int]:
+        """Ids of one word."""
+        if symbols in self.ids:
+            return [self.ids[symbols]]
+        short = len(symbols) < 2 * (self.lookahead + self.longest)
+        return [self.ids[t] for t in (self._short(symbols) if short else self.tokens(symbols))]
+
     def _short(self, word: str) -> list[str]:
-        """The same for a word that ends before anything could be emitted."""
+        """Tokens of a word that ends before anything could be emitted."""
         ids, lengths, may_follow = self.ids, self.ends.get, self.may_follow
-        if word in ids:
-            return [word]
         # what a prefix leads to does not depend on what follows it
         head = word[:HEAD] if len(word) > HEAD else ""
         last = self.begun.get(head)
@@ -182,20 +189,24 @@ class Transducer:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; strings of special tokens in it count as those tokens."""
+        if not self.cut or self.mark not in text:
+            return self._plain(text)
         out: list[int] = []
         at = 0
-        for m in self.cut.finditer(text) if self.cut else ():
+        for m in self.cut.finditer(text):
             out += self._plain(text[at : m.start()])
             out.append(self.special[m.group()])
             at = m.end()
         return out + self._plain(text[at:])
 
     def _plain(self, text: str) -> list[int]:
-        if self.suffix and text.isascii() and text.isalpha():
+        if text.isascii():
             text = text.lower()
-            return [self.ids[t] for t in self.tokens(text[:-1] + chr(ord(text[-1]) + END))]
-        text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
-        return [self.ids[t] for w in self.words.findall(text) for t in self.tokens(self.word_symbols(w))]
+            if self.suffix and text.isalpha():
+                return self.word_ids(text[:-1] + chr(ord(text[-1]) + END))
+        else:
+            text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+        return [i for w in self.words.findall(text) for i in self.word_ids(self.word_symbols(w))]
 
     def decoded(self, ids: Iterable[int], tokens: bool = False) -> Iterator[str]:
         """The text of a stream of ids, character by character as its bytes become
@@ -204,7 +215,7 @@ class Transducer:
         With ``tokens`` the bytes are those of the tokens' own names, one space between
         two: the library's decode where the file names no decoder.
         """
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        machine = self.decoder("replace")
         if tokens:
             between = b""
             for i in ids:
@@ -240,33 +251,31 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
     return most
 
 
-class _Known:
-    """What a worker knows of pieces of text: number of tokens, ids and decoded text."""
+class _Known(Pieces):
+    """What a worker knows of pieces of text; the decimals of ids and what they show."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.machine = Transducer(path)
-        # the pieces of late, and those before them: what comes often is carried over
-        self.of: dict[str, tuple[int, str, str]] = {}
-        self.before: dict[str, tuple[int, str, str]] = {}
-
-    def look_up(self, pieces: list[str]) -> tuple[np.ndarray, pa.Array, pa.Array]:
-        got = []
-        for p in pieces:
-            found = self.of.get(p)
-            if found is None:
-                found = self.before.get(p)
-                if found is None:
-                    ids = self.machine.encode(p)
-                    found = (len(ids), " ".join(map(str, ids)), "".join(self.machine.decoded(ids, tokens=True)))
-                if len(self.of) >= LIMIT // 2:
-                    self.before, self.of = self.of, {}
-                self.of[p] = found
-            got.append(found)
-        return (
-            np.fromiter((g[0] for g in got), np.int64, len(got)),
-            pa.array([g[1] for g in got], pa.large_string()),
-            pa.array([g[2] for g in got], pa.large_string()),
-        )
+        every = range(max(self.machine.name_of) + 1)
+        self.decimals = pa.array(map(str, every), pa.large_string())
+        self.shown = pa.array(["".join(self.machine.decoded([i], tokens=True)) if i in self.machine.name_of else None for i in every], pa.large_string())
+
+    def look_up(self, pieces: list[str]) -> np.ndarray:
+        """The number of each of some distinct pieces; new ones are encoded."""
+        if len(self.known) > KEPT:
+            self.forget()
+        number = list(map(self.known.get, pieces))
+        new = [p for p, n in zip(pieces, number) if n is None]
+        if not new:
+            return np.array(number, np.int64)
+        ids, lengths = [], []
+        for p in new:
+            found = self.machine.encode(p)
+            ids += found
+            lengths.append(len(found))
+        self.add(new, np.array(ids, np.uint32), np.array(lengths))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
 
 def known(path: str) -> _Known:
@@ -294,14 +303,12 @@ def round_trip(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
             cut = pc.replace_substring_regex(texts, "([A-Za-zà-öø-ÿ])([.,])", r"\1 \2")
             lists = pc.ascii_split_whitespace(cut)
             coded = lists.flatten().dictionary_encode()
-            counts, ids, shown = of.look_up(coded.dictionary.to_pylist())
-            at = coded.indices.to_numpy()
-            kept = np.flatnonzero(counts[at])  # pieces without a token leave no gap
-            offsets = pa.array(np.searchsorted(kept, lists.offsets.to_numpy()), pa.int64())
-            total = np.concatenate([[0], np.cumsum(counts[at])])[lists.offsets.to_numpy()]
+            number = of.look_up(coded.dictionary.to_pylist())
+            ids, at = of.ids_of(number[coded.indices.to_numpy()])
+            total = at[lists.offsets.to_numpy()]
             joined = [
-                pc.binary_join(pa.LargeListArray.from_arrays(offsets, part.take(pa.array(at[kept]))), pa.scalar(" ", pa.large_string()))
-                for part in (ids, shown)
+                pc.binary_join(pa.LargeListArray.from_arrays(pa.array(total), part.take(pa.array(ids))), pa.scalar(" ", pa.large_string()))
+                for part in (of.decimals, of.shown)
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(total)), *(pa.array(digest(j)) if digests else j.cast(pa.string()) for j in joined)],

@@ -471,3 +471,15 @@ def test_pieces_are_learned_many_at_a_time(monkeypatch):
         ids, at = store.encode(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [model.encode(t, add_special_tokens=False).ids for t in texts]
     assert sum(calls) == len(store.known) and len(calls) < 10
+
+
+def test_a_piece_is_encoded_once_while_there_is_room(monkeypatch):
+    store, met = bpe._Known(tokenizer("word_bpe_49k.json")), []
+    monkeypatch.setattr(store.machine, "encode", lambda p: met.append(p) or [7, len(p)])
+    pieces = [f"p{i}" for i in range(320_000)]
+    for _ in range(2):
+        for i in range(0, len(pieces), 40_000):
+            store.look_up(pieces[i : i + 40_000])
+    assert len(met) == len(pieces)
+    ids, at = store.ids_of(store.look_up(["p5", "new", "p123456"]))
+    assert ids.tolist() == [7, 2, 7, 3, 7, 7] and at.tolist() == [0, 2, 4, 6]
