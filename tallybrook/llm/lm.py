@@ -306,13 +306,13 @@ class Trainer(Model):
     @staticmethod
     def _step(weights: np.ndarray, sums: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
         """AdaGrad with one pace per row; a row met several times takes the sum."""
-        at = np.flatnonzero(np.bincount(rows.ravel(), minlength=len(weights)))
-        of = np.empty(len(weights), np.int64)
-        of[at] = np.arange(0, len(at) * CLASSES, CLASSES)
-        total = np.zeros(len(at) * CLASSES, np.float32)
-        for i in range(rows.shape[1]):
-            np.add.at(total, (of[rows[:, i]][:, None] + np.arange(CLASSES)).ravel(), gradient.ravel())
-        total = total.reshape(-1, CLASSES)
+        flat = rows.T.ravel().astype(np.uint16)  # so short numbers are sorted by their digits
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        columns = np.ascontiguousarray(gradient.T).take(order % len(gradient), 1)
+        total = np.ascontiguousarray(np.add.reduceat(columns, first, axis=1).T)
+        at = flat[first]
         sums[at] += (total * total).mean(1)
         weights[at] -= RATE * total / np.sqrt(sums[at])[:, None]
 
