@@ -10,16 +10,18 @@ ids of the whole are the same as from encoding the whole.
 from __future__ import annotations
 
 import os
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallybrook.llm.common import worker_cache
+from tallybrook.llm.common import byte_lengths, worker_cache
 
 SEPARATOR = "<|endoftext|>"
 RAW = "\x01"  # marks a piece without a space before it
-LIMIT = 900_000
+LIMIT = 600_000
+PART_BYTES = 2 << 20  # of text, looked at together
 
 
 class Pieces:
@@ -68,6 +70,21 @@ class Encoder(Pieces):
         self.separator = self.model.token_to_id(SEPARATOR)
         super().__init__()
 
+    def forget(self) -> None:
+        super().forget()
+        self.again = np.zeros(len(self.ends), bool)  # pieces met in another part too
+
+    def _thin(self) -> None:
+        """Forget the pieces met in one part only since the last time; all of them, if
+        that leaves too many."""
+        again = self.again[: len(self.known)]
+        kept = np.flatnonzero(again)
+        pieces = list(compress(self.known, again.tolist()))
+        ids, at = self.ids_of(kept)
+        self.forget()
+        if len(pieces) <= LIMIT // 2:
+            self.add(pieces, ids, np.diff(at))
+
     def _plain(self, piece: str) -> str:
         if self.kind == "word":
             return piece
@@ -78,11 +95,13 @@ class Encoder(Pieces):
         the end-of-text token between them: the model never joins what stands
         beside a token of that kind, and one long text costs less than many."""
         if len(self.known) > LIMIT:
-            self.forget()
-        number = list(map(self.known.get, pieces))
-        new = [p for p, n in zip(pieces, number) if n is None]
-        if not new:
-            return np.array(number, np.int64)
+            self._thin()
+        number = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        self.again[number[number >= 0]] = True
+        at = np.flatnonzero(number < 0)
+        new = [pieces[i] for i in at.tolist()]
+        odd = np.array(["<|" in p for p in new], bool)
+        number[np.concatenate([at[~odd], at[odd]])] = np.arange(len(self.known), len(self.known) + len(new))
         plain = [p for p in new if "<|" not in p]
         for i in range(0, len(plain), 1000):
             some = plain[i : i + 1000]
@@ -90,19 +109,33 @@ class Encoder(Pieces):
             ends = np.flatnonzero(ids == self.separator)
             assert len(ends) == len(some) - 1
             self.add(some, np.delete(ids, ends), np.diff(ends, prepend=-1, append=len(ids)) - 1)
-        for p in set(new) - set(plain):
+        for p in compress(new, odd.tolist()):
             ids = self._encode(self._plain(p))
             self.add([p], ids, np.array([len(ids)]))
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if len(self.again) < len(self.ends):
+            self.again = np.concatenate([self.again, np.zeros(len(self.ends) - len(self.again), bool)])
+        return number
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of an array of texts (NULL: none), and where each text's begin
-        and the last one's end."""
-        if not len(texts):
-            return np.empty(0, np.uint32), np.zeros(1, np.int64)
+        and the last one's end.  Texts go through in parts of about PART_BYTES, which
+        bounds what their pieces take."""
+        ends = np.cumsum(byte_lengths(texts))
+        ids, lengths, start = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)], 0
+        while start < len(texts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + PART_BYTES, "right")))
+            some, at = self._encode_part(texts[start:stop])
+            ids.append(some)
+            lengths.append(np.diff(at))
+            start = stop
+        return np.concatenate(ids), np.cumsum(np.concatenate(lengths))
+
+    def _encode_part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pa.concat_arrays([texts])  # of a slice, the lists below would begin where its parent does
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = np.zeros(len(texts), bool)
         if self.kind == "word":
