@@ -50,6 +50,7 @@ CLASSES = 32  # classes of the vocabulary, and words of a class
 ROWS = 1 << 15  # hashed rows of features, for classes and for words
 RARE, RATE, STEP = 0, 0.1, 1 << 15
 LEAST = 4  # training tokens of a word in a bucket's vocabulary
+BLOCK = 128  # values that numpy sums without halving them
 BLANK = CLASSES * CLASSES  # stands before a text, in histories of numbers
 END = b""  # no word is empty
 RUN_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
@@ -73,7 +74,7 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     lists = pc.ascii_split_whitespace(low)  # just the ASCII white space
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    words = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
     place, at = coded.indices.to_numpy(), lists.offsets.to_numpy()
     if END in words:  # white space at an end of a text leaves an empty string
         full = place != words.index(END)
@@ -81,7 +82,8 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         place = place[full]
     words.append(END)
     place = np.insert(place.astype(np.int64), at[1:], len(words) - 1)
-    return np.fromiter(map(word_hash, words), np.int64, len(words)), place, np.diff(at).astype(np.int64) + 1
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)  # as word_hash has them
+    return hashes.astype(np.int64), place, np.diff(at).astype(np.int64) + 1
 
 
 def bucket_of(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -231,11 +233,61 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def rows_of(x: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weight rows of the features for the classes, and for the words of a class."""
-    of_class = ((x * K[1]) >> np.uint64(40)).astype(np.int64) % ROWS
-    of_word = (((x ^ (cls.astype(np.uint64) * K[0])[:, None]) * K[2]) >> np.uint64(40)).astype(np.int64) % ROWS
-    return of_class, of_word
+def _chances(z: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Places of the softmax of scores."""
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    return z[row, column] / z.sum(1)[row]
+
+
+def rows_of_classes(x: np.ndarray) -> np.ndarray:
+    """Weight rows of the features for the classes."""
+    return ((x * K[1] >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int64)
+
+
+def rows_of_words(x: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Weight rows of the features for the words of a class."""
+    return (((x ^ (cls.astype(np.uint64) * K[0])[:, None]) * K[2] >> np.uint64(40)) % np.uint64(ROWS)).astype(np.int64)
+
+
+def sums_of(values: np.ndarray, of: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows ``values[of]`` from each place in ``first`` to the next one, in
+    another order, and that order.  They are np.add.reduceat's to the bit: it adds to a
+    first value the sum of those after it, by eight sums side by side where there are
+    eight to 128 of them.  Here runs of a like length go together, whole rows at a time."""
+    after = np.diff(first, append=len(of)) - 1
+    order = np.argsort(np.minimum(after, BLOCK + 1).astype(np.uint8), kind="stable")[::-1]
+    first, after = first[order], after[order]
+    total = values.take(of[first], 0)
+    long, mid, some = (int(np.searchsorted(-after, -n, "left")) for n in (BLOCK, 7, 0))
+    if long:
+        length = after[:long] + 1
+        start = np.cumsum(length) - length
+        rows = values.take(of[np.arange(length.sum()) + np.repeat(first[:long] - start, length)], 0)
+        total[:long] = np.add.reduceat(np.ascontiguousarray(rows.T), start, axis=1).T
+    if long < mid:
+        at, n = first[long:mid] + 1, after[long:mid]
+        eight, left = n // 8, n % 8
+        at8 = at[:, None] + np.arange(8)
+        sums = values.take(of[at8], 0)
+        for i in range(1, int(eight[0])):
+            k = int(np.searchsorted(-eight, -i, "left"))
+            sums[:k] += values.take(of[at8[:k] + 8 * i], 0)
+        while sums.shape[1] > 1:
+            sums = sums[:, ::2] + sums[:, 1::2]
+        sums, at = sums[:, 0], at + 8 * eight
+        for i in range(int(left.max())):
+            more = np.flatnonzero(left > i)
+            sums[more] += values.take(of[at[more] + i], 0)
+        total[long:mid] += sums
+    if mid < some:
+        at, n = first[mid:some] + 1, after[mid:some]
+        sums = values.take(of[at], 0)
+        for i in range(1, int(n[0])):
+            k = int(np.searchsorted(-n, -i, "left"))
+            sums[:k] += values.take(of[at[:k] + i], 0)
+        total[mid:some] += sums
+    return total, order
 
 
 class Model:
@@ -247,19 +299,17 @@ class Model:
         self.words = np.zeros((ROWS + CLASSES, CLASSES), np.float32) if words is None else words
 
     def terms(self, before: np.ndarray, word: np.ndarray, names: np.ndarray):
-        """Distinct histories with their distribution of classes, and distinct pairs
-        of history and class (not 0) with that of the class's words; for both,
-        which one a token belongs to."""
+        """Distinct histories with the scores of the classes, and distinct pairs of
+        history and class (not 0) with those of the class's words; for both, which
+        one a token belongs to."""
         seen, which = np.unique(before, return_inverse=True)
         cls, place = word // CLASSES, word % CLASSES
         common = np.flatnonzero(cls)
         pairs, pair = np.unique(which[common] * CLASSES + cls[common], return_inverse=True)
         x, of = features(seen, names), pairs % CLASSES
-        a = np.concatenate([rows_of(x, np.zeros(len(x), np.int64))[0], np.full((len(x), 1), ROWS)], 1)
-        b = np.concatenate([rows_of(x[pairs // CLASSES], of)[1], (ROWS + of)[:, None]], 1)
-        p = _softmax(self._sum(self.classes, a))
-        q = _softmax(self._sum(self.words, b))
-        return which, cls, a, p, common, pair, place[common], b, q
+        a = np.concatenate([rows_of_classes(x), np.full((len(x), 1), ROWS)], 1)
+        b = np.concatenate([rows_of_words(x[pairs // CLASSES], of), (ROWS + of)[:, None]], 1)
+        return which, cls, a, self._sum(self.classes, a), common, pair, place[common], b, self._sum(self.words, b)
 
     @staticmethod
     def _sum(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -272,8 +322,8 @@ class Model:
         out = np.empty(len(word))
         for i in range(0, len(word), STEP):
             which, cls, _, p, common, pair, place, _, q = self.terms(before[i : i + STEP], word[i : i + STEP], names)
-            part = np.log10(np.maximum(p[which, cls], 1e-20)).astype(float)
-            part[common] += np.log10(np.maximum(q[pair, place], 1e-20))
+            part = np.log10(np.maximum(_chances(p, which, cls), 1e-20)).astype(float)
+            part[common] += np.log10(np.maximum(_chances(q, pair, place), 1e-20))
             out[i : i + STEP] = part
         return out
 
@@ -298,9 +348,12 @@ class Trainer(Model):
                 (self.words, self.g_words, b, q, pair, place),
             ):
                 if len(rows):
+                    _softmax(chance)
                     n = np.bincount(of, minlength=len(rows)).astype(np.float32)
                     chance *= n[:, None]
-                    chance -= np.bincount(of * CLASSES + target, minlength=len(rows) * CLASSES).reshape(-1, CLASSES)
+                    met, n = np.unique(of * CLASSES + target, return_counts=True)
+                    flat = chance.reshape(-1)
+                    flat[met] = flat[met].astype(float) - n
                     self._step(weights, sums, rows, chance)
 
     @staticmethod
@@ -310,11 +363,14 @@ class Trainer(Model):
         order = np.argsort(flat, kind="stable")
         flat = flat[order]
         first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        columns = np.ascontiguousarray(gradient.T).take(order % len(gradient), 1)
-        total = np.ascontiguousarray(np.add.reduceat(columns, first, axis=1).T)
-        at = flat[first]
-        sums[at] += (total * total).mean(1)
-        weights[at] -= RATE * total / np.sqrt(sums[at])[:, None]
+        of = np.tile(np.arange(len(gradient)), rows.shape[1])[order]
+        total, order = sums_of(gradient, of, first)
+        at = flat[first[order]]
+        pace = sums[at] + (total * total).mean(1)
+        sums[at] = pace
+        total *= RATE
+        total /= np.sqrt(pace)[:, None]
+        weights[at] = np.subtract(weights.take(at, 0), total, out=total)
 
 
 def _train(vocabulary: Vocabulary, blocks: int):
