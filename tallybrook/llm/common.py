@@ -18,11 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def worker_cache(key, make):
+def worker_cache(key, make, alone: bool = False):
     """What a Python worker keeps from task to task.  The functions of this package
-    travel to the workers by value, so module variables would be new in each task."""
+    travel to the workers by value, so module variables would be new in each task.
+    With ``alone`` it is made in place of all that is kept."""
     kept = sys.modules.setdefault("_tallybrook_kept", ModuleType("_tallybrook_kept"))
     if key not in kept.__dict__:
+        if alone:
+            kept.__dict__.clear()
+            give_back()
         kept.__dict__[key] = make()
     return kept.__dict__[key]
 

@@ -21,7 +21,7 @@ from tallybrook.llm.common import byte_lengths, worker_cache
 SEPARATOR = "<|endoftext|>"
 RAW = "\x01"  # marks a piece without a space before it
 LIMIT = 600_000
-PART_BYTES = 2 << 20  # of text, looked at together
+PART_BYTES = 1 << 20  # of text, looked at together
 
 
 class Pieces:
@@ -132,6 +132,7 @@ class Encoder(Pieces):
             ids.append(some)
             lengths.append(np.diff(at))
             start = stop
+            pa.default_memory_pool().release_unused()  # or the pool keeps what the largest part took
         return np.concatenate(ids), np.cumsum(np.concatenate(lengths))
 
     def _encode_part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +150,7 @@ class Encoder(Pieces):
             cut = pc.replace_substring(cut, "\n", f" {RAW}\n")
             lists = pc.split_pattern(pc.binary_join_element_wise(*(pa.scalar(x, pa.large_string()) if isinstance(x, str) else x for x in (RAW, cut, ""))), " ")
         coded = lists.flatten().dictionary_encode()
-        number = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        number = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         ids, at = self.ids_of(number)
         offsets = at[lists.offsets.to_numpy()]
         if whole.any():
@@ -162,5 +163,6 @@ class Encoder(Pieces):
 
 
 def encoder(path: str, kind: str) -> Encoder:
-    """One encoder a worker process, so that what it knows serves later tasks."""
-    return worker_cache(f"encoder {kind} {path}", lambda: Encoder(path, kind))
+    """One encoder a worker process, so that what it knows serves later tasks; what
+    other operators kept there goes, or it would count beside the encoder's."""
+    return worker_cache(f"encoder {kind} {path}", lambda: Encoder(path, kind), alone=True)

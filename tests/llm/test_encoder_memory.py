@@ -1,0 +1,32 @@
+"""What an encoder takes at a time, and what stays beside it."""
+
+import sys
+
+import pyarrow as pa
+import pytest
+
+from tallybrook.llm import common, tokens
+from tallybrook.llm.queries import tokenizer
+
+
+@pytest.mark.parametrize("kind,file", [("word", "word_bpe_49k.json"), ("byte", "byte_bpe_50k.json")])
+def test_texts_go_through_a_megabyte_at_a_time(kind, file, monkeypatch):
+    store, parts = tokens.Encoder(tokenizer(file), kind), []
+    part = tokens.Encoder._encode_part
+    monkeypatch.setattr(tokens.Encoder, "_encode_part", lambda self, texts: parts.append(len(texts)) or part(self, texts))
+    text = "ein Wort, noch eins\nund mehr " * 20_000
+    ids, at = store.encode(pa.array([text, None, text, text + "x", ""]))
+    assert max(parts) < 5
+    want = store.model.encode(text, add_special_tokens=False).ids
+    assert ids[: at[1]].tolist() == want and ids[at[2] : at[3]].tolist() == want
+
+
+def test_an_encoder_is_all_that_a_worker_keeps(monkeypatch):
+    monkeypatch.delitem(sys.modules, "_tallybrook_kept", raising=False)
+    common.word_hashes().of([b"a", b"b"])
+    code = tokens.encoder(tokenizer("word_bpe_49k.json"), "word")
+    kept = sys.modules["_tallybrook_kept"].__dict__
+    assert "word hashes" not in kept and tokens.encoder(tokenizer("word_bpe_49k.json"), "word") is code
+    common.word_hashes()
+    assert tokens.encoder(tokenizer("word_bpe_49k.json"), "word") is code
+    monkeypatch.delitem(sys.modules, "_tallybrook_kept")
