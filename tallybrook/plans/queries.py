@@ -312,7 +312,7 @@ def daily_products(spark: SparkSession, folder: str, day: int) -> DataFrame:
         product_rows(spark, folder), derive.product_dims(spark, folder), "1 day"
     )
     path = scratch(spark, "product_stats")
-    result_tables.write_result(found, path, "product_stats", 0)
+    result_tables.write_large_result(found, path, "product_stats", 0, scratch(spark, "product_stats-blocks"))
     return result_table(spark, path, day)
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # Runtime SQL settings every job relies on.  They are all dynamic, so they can
@@ -65,6 +68,18 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written in here go with the write.  Not for frames that
+    are run more than once, which would find them gone."""
+    had = spark.conf.get(FILE_CLEANUP)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FILE_CLEANUP, had)
+
+
 def build(app: str = "tallybrook", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallybrook.schemas import RESULT_COLUMNS
+from tallybrook.session import shuffles_end
+from tallybrook.sinks.dims import _fs
+
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def positional(df: DataFrame, table: str) -> DataFrame:
@@ -30,6 +34,31 @@ def write_result(df: DataFrame, path: str, table: str, batch_id: int) -> None:
     )
 
 
+def write_large_result(df: DataFrame, path: str, table: str, batch_id: int, aside: str, blocks: int = 8) -> None:
+    """:func:`write_result` for rows that are too many to be shuffled by day all at once.
+
+    They are first written to ``aside`` by blocks of days, and what was shuffled to make
+    them goes.  Then one block after the other is written as a result and leaves ``aside``.
+    """
+    spark = df.sparkSession
+    block = F.coalesce(F.pmod(F.unix_date(F.to_date("stt")), F.lit(blocks)), F.lit(0))
+    rows = positional(df, table).withColumn("_block", block)
+    had = spark.conf.get(WRITERS)
+    with shuffles_end(spark):
+        spark.conf.set(WRITERS, str(blocks))  # a file per block is open, so that rows need not be sorted
+        try:
+            rows.write.option("compression", "zstd").partitionBy("_block").parquet(aside)
+        finally:
+            spark.conf.set(WRITERS, had)
+        written = spark.read.schema(rows.schema).parquet(aside)
+        for n in range(blocks):
+            write_result(written.filter(F.col("_block") == n), path, table, batch_id)
+            fs, p = _fs(spark, f"{aside}/_block={n}")
+            fs.delete(p, True)
+    fs, p = _fs(spark, aside)
+    fs.delete(p, True)
+
+
 def land_lines(lines: DataFrame, path: str, batch_id: int) -> None:
     """Write the lines (``value``, ``record_time``) of a micro-batch as text below
     ``dt=D/batch_id=N``, D the day they came.  A repeated ``batch_id`` replaces what it

@@ -1,6 +1,8 @@
 """Queries keep their whole job, and their large steps stay small."""
 
 import datetime as dt
+import os
+import time
 
 from tallybrook.operators import stats, wide
 from tallybrook.plans import derive, queries
@@ -86,6 +88,28 @@ def test_each_report_stores_its_own_table(spark, tmp_path):
     assert paths[0] != paths[1]
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+
+def test_a_report_leaves_its_table_and_no_shuffle_files(spark, tmp_path):
+    folder = shop(spark, tmp_path)
+    whole = stats.product_stats(queries.product_rows(spark, folder), derive.product_dims(spark, folder), "1 day")
+    want = sorted(map(str, whole.collect()))
+    root = spark.conf.get("spark.checkpoint.dir")
+    before, kept = shuffle_files(spark), set(os.listdir(root))
+    day = queries.daily_products(spark, folder, 20240102)
+    until = time.time() + 20  # they go in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    (made,) = set(os.listdir(root)) - kept
+    stored = spark.read.parquet(f"{root}/{made}").drop("dt", "batch_id")
+    assert sorted(map(str, stored.collect())) == want and 0 < day.count() < len(want)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_joined_streams_keep_one_store(spark, tmp_path):
     folder = shop(spark, tmp_path)
     assert spark.conf.get("spark.sql.streaming.join.stateFormatVersion") == "3"
