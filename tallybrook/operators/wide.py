@@ -38,7 +38,7 @@ def join_details(
     An order has one row, so the static form relies on AQE to split an order
     with very many details; see ``slice_ms`` of :func:`interval_join`.
     """
-    o = with_create_parts(orders).withColumn("_ot", parse_stamp("create_time"))
+    o = orders.withColumn("_ot", parse_stamp("create_time"))
     d = details.withColumn("_dt", parse_stamp("create_time"))
     if orders.isStreaming:
         o, d = o.withWatermark("_ot", delay), d.withWatermark("_dt", delay)
@@ -49,6 +49,9 @@ def join_details(
         "split_coupon_amount": "r.split_coupon_amount",
         "split_total_amount": "r.split_total_amount", "order_id": "l.id",
     }
+    # parts of the creation time are made after the join, so that its state and shuffles
+    # need not have them
+    parts = ("create_date", "create_hour")
     have = set(o.columns)
     # names of the product, where the details have them already
     from_detail |= {c: f"r.{c}" for c in PRODUCT_NAMES if c in details.columns}
@@ -56,16 +59,18 @@ def join_details(
     for f in ORDER_WIDE.fields:
         if f.name in from_detail:
             c = F.col(from_detail[f.name])
+        elif f.name in parts:
+            continue
         elif f.name in have:
             c = F.col(f"l.{f.name}")
         else:  # dimension columns, filled later; there is no per-detail freight
             c = F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
-    if orders.isStreaming:
-        cols.append(F.col("l._ot"))
+    time = ["_ot"] if orders.isStreaming else []
+    cols += [F.col(f"l.{c}") for c in time]
     wide = interval_join(o, d, [("id", "order_id")], "_ot", "_dt", lower_ms, upper_ms,
                          project=cols, slice_ms=slice_ms)
-    return wide
+    return with_create_parts(wide).select(*[f.name for f in ORDER_WIDE.fields], *time)
 
 
 def _no_more_to_find(key: str, there: str) -> Column:

@@ -23,7 +23,7 @@ from tallybrook.operators import (
 from tallybrook.plans import derive
 from tallybrook.plans.derive import AS_OF_MS, DAY_MS
 from tallybrook.schemas import RULE
-from tallybrook.session import prepare, scratch
+from tallybrook.session import prepare, release, scratch
 from tallybrook.sinks import dims as dim_store, tables as result_tables
 from tallybrook.sinks.history import History
 from tallybrook.sources.changes import change_view, snapshot_then_changes
@@ -586,8 +586,8 @@ def scalar_functions(spark: SparkSession, folder: str) -> DataFrame:
 def drain(spark: SparkSession, df: DataFrame, name: str, idle: bool = True) -> DataFrame:
     """Run a stream over all there is and read back what it wrote."""
     out = scratch(spark, name)
-    q = start(df, scratch(spark, f"{name}-checkpoint"), trigger=ONCE, path=out, idle=idle)
-    q.awaitTermination()
+    start(df, scratch(spark, f"{name}-checkpoint"), trigger=ONCE, path=out, idle=idle).awaitTermination()
+    release(spark)
     return spark.read.schema(df.schema).parquet(out)
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -34,6 +36,9 @@ RUNTIME_CONF = {
     # looks its key up only to count rows
     "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # state lies on disk twice, in the store and in the checkpoint: half the bytes of lz4
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
 }
 
 # Settings that only count when a session is built.
@@ -80,6 +85,17 @@ def shuffles_end(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FILE_CLEANUP, had)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of queries that have ended.  Spark removes them when the
+    driver's collector finds them without an owner, and a driver with memory to spare may
+    not collect for half an hour.  A query's thread may end a little after the query, so
+    there is a second round."""
+    for wait in (0, 0.5):
+        time.sleep(wait)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def build(app: str = "tallybrook", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

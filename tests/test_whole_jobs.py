@@ -123,3 +123,32 @@ def test_joined_streams_keep_one_store(spark, tmp_path):
     assert not any("left" in s or "right" in s for s in stores)
     # 24 lines of orders 1 to 8, those of customer 2 twice
     assert spark.read.parquet(str(tmp_path / "out")).count() == 24 + 3 * 3
+
+
+def test_streamed_orders_keep_little_state(spark, tmp_path, capsys):
+    folder = shop(spark, tmp_path)
+    o = derive.order_info(table_stream(spark, folder, "orders"), table(spark, folder, "customer"))
+    joined = wide.join_details(o, derive.order_detail(table_stream(spark, folder, "lineitem")), -queries.MONTH, queries.MONTH).drop("_ot")
+    q = run.start(joined, str(tmp_path / "cp"), trigger=run.ONCE, path=str(tmp_path / "out"), idle=False)
+    q.awaitTermination()
+    assert '"spark.sql.streaming.stateStore.compression.codec":"zstd"' in (tmp_path / "cp" / "offsets" / "0").read_text()
+    capsys.readouterr()
+    q.explain()
+    after, before = capsys.readouterr().out.split("StreamingSymmetricHashJoin", 1)
+    # the parts of a time are not kept with it
+    assert "split(" in after and "split(" not in before
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.create_time, r.create_date, r.create_hour) for r in rows} == {
+        (f"2024-01-{1 + k:02d} 00:00:00", f"2024-01-{1 + k:02d}", "00") for k in range(1, 9)}
+
+
+def test_ended_queries_let_go_of_their_shuffles(spark, tmp_path):
+    before = shuffle_files(spark)
+    spark.range(1000).repartition(4, "id").write.parquet(str(tmp_path / "rows"))
+    stream = spark.readStream.schema("id bigint").parquet(f"{tmp_path}/rows").dropDuplicates(["id"])
+    out = queries.drain(spark, stream, "ended")
+    until = time.time() + 20  # they go in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert out.count() == 1000
