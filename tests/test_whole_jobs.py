@@ -8,6 +8,7 @@ from tallybrook.operators import stats, wide
 from tallybrook.plans import derive, queries
 from tallybrook.plans.queries import QUERIES
 from tallybrook.sources.files import table, table_stream
+from tallybrook.sources.topics import FolderTopics
 from tallybrook.streaming import run
 
 
@@ -142,6 +143,18 @@ def test_streamed_orders_keep_little_state(spark, tmp_path, capsys):
         (f"2024-01-{1 + k:02d} 00:00:00", f"2024-01-{1 + k:02d}", "00") for k in range(1, 9)}
 
 
+def test_topics_are_packed_and_plain_files_still_read(spark, tmp_path):
+    topics = FolderTopics(spark, str(tmp_path / "topics"), str(tmp_path / "cp"))
+    lines = [(f"r{i}", f'{{"n": {i}, "text": "the same text in all"}}') for i in range(2000)]
+    topics.append(spark.createDataFrame(lines, "rid string, value string").coalesce(1), "t", "job", 0)
+    (part,) = (tmp_path / "topics" / "t" / f"job-{0:012d}").glob("part-*")
+    assert part.stat().st_size < sum(len(v) for _, v in lines) / 2
+    (tmp_path / "topics" / "t" / "plain.txt").write_text("\x02own\x03plain\n")
+    assert sorted((r.rid, r.value) for r in topics.lines("t").collect()) == sorted([*lines, ("own", "plain")])
+    seen = queries.drain(spark, topics.read("t").select("rid", "value"), "packed-topic")
+    assert sorted((r.rid, r.value) for r in seen.collect()) == sorted([*lines, ("own", "plain")])
+
+
 def test_ended_queries_let_go_of_their_shuffles(spark, tmp_path):
     before = shuffle_files(spark)
     spark.range(1000).repartition(4, "id").write.parquet(str(tmp_path / "rows"))
