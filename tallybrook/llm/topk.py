@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybrook.llm.common import pack, unpack, written
+from tallybrook.llm.common import give_back, pack, unpack, written
 
 PART, QUERIES, STEP = 16_384, 4_096, 1_024
+# queries that meet a block of STEP vectors at a time, and components scored at a time
+SLICE, CELLS = 512, 1 << 21
 
 
 def quantised(rows: DataFrame, scale: int) -> DataFrame:
@@ -116,6 +118,22 @@ def _packed(size: int):
     return rows
 
 
+def _scores(q: np.ndarray, v: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``i`` of ``q`` and ``j`` of ``v``.  Most pairs of a block
+    may ask for one, so their components are copied a few at a time."""
+    score, n = np.empty(len(i), np.int64), max(1, CELLS // max(1, q.shape[1]))
+    for at in range(0, len(i), n):
+        score[at : at + n] = np.einsum("ij,ij->i", q[i[at : at + n]], v[j[at : at + n]])
+    return score
+
+
+def _dealt(n: int) -> Column:
+    """Place among ``n`` of what :func:`_packed` has numbered: a partition's first value has
+    the partition's own, a further one the next."""
+    number = F.col("number")
+    return F.pmod(F.shiftright(number, 32) + number.bitwiseAND(F.lit((1 << 32) - 1)), F.lit(n)).cast("int")
+
+
 def _search(dim: int, basis: np.ndarray, k: int):
     head = max(1, dim // 4)
 
@@ -144,21 +162,26 @@ def _search(dim: int, basis: np.ndarray, k: int):
                     break
                 v_head = v @ basis[:, :head]
                 v_rest = np.sqrt(np.maximum(norm**2 - (v_head**2).sum(1), 0))
-                bound = q_head[live] @ v_head.T + q_rest[live][:, None] * v_rest[None, :] + slack[live][:, None]
-                i, j = np.nonzero((bound >= floor[live][:, None]) & (q_id[live][:, None] != ids[None, :]))
-                i = live[i]
-                score = np.einsum("ij,ij->i", q[i], v[j])
-                at_least = score >= floor[i]
-                best = tuple(np.concatenate([b, n[at_least]]) for b, n in zip(best, (i, score, ids[j])))
-                order = np.lexsort((best[2], -best[1], best[0]))
-                best = tuple(b[order] for b in best)
-                first = np.searchsorted(best[0], best[0])
-                rank = np.arange(len(first)) - first
-                keep = rank < k
-                kth = best[0][rank == k - 1]
-                floor[kth] = np.maximum(floor[kth], best[1][rank == k - 1])
-                best = tuple(b[keep] for b in best)
-        return pa.table({"query_id": q_id[best[0]], "vec_id": best[2], "score": best[1]})
+                for some in np.array_split(live, -(-len(live) // SLICE)):
+                    bound = q_head[some] @ v_head.T
+                    bound += q_rest[some][:, None] * v_rest[None, :]
+                    bound += slack[some][:, None]
+                    i, j = np.nonzero((bound >= floor[some][:, None]) & (q_id[some][:, None] != ids[None, :]))
+                    i = some[i]
+                    score = _scores(q, v, i, j)
+                    at_least = score >= floor[i]
+                    best = tuple(np.concatenate([b, n[at_least]]) for b, n in zip(best, (i, score, ids[j])))
+                    order = np.lexsort((best[2], -best[1], best[0]))
+                    best = tuple(b[order] for b in best)
+                    first = np.searchsorted(best[0], best[0])
+                    rank = np.arange(len(first)) - first
+                    keep = rank < k
+                    kth = best[0][rank == k - 1]
+                    floor[kth] = np.maximum(floor[kth], best[1][rank == k - 1])
+                    best = tuple(b[keep] for b in best)
+        found = pa.table({"query_id": q_id[best[0]], "vec_id": best[2], "score": best[1]})
+        give_back()
+        return found
 
     return search
 
@@ -171,11 +194,13 @@ def _floors(seeds: list, dim: int, k: int):
 
     def floors(batches):
         for batch in batches:
-            score = _matrix(batch.column("v").to_pylist(), dim) @ v.T
-            own = batch.column("id").to_numpy()[:, None] == ids[None, :]
-            score = np.sort(np.where(own, np.iinfo(np.int64).min, score), 1)[:, ::-1]
-            floor = score[:, k - 1] if score.shape[1] >= k else np.full(len(score), np.iinfo(np.int64).min)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(floor)], names=["id", "v", "floor"])
+            for at in range(0, batch.num_rows, SLICE):
+                some = batch.slice(at, SLICE)
+                score = _matrix(some.column("v").to_pylist(), dim) @ v.T
+                own = some.column("id").to_numpy()[:, None] == ids[None, :]
+                score = np.sort(np.where(own, np.iinfo(np.int64).min, score), 1)[:, ::-1]
+                floor = score[:, k - 1] if score.shape[1] >= k else np.full(len(score), np.iinfo(np.int64).min)
+                yield pa.RecordBatch.from_arrays([some.column("id"), some.column("v"), pa.array(floor)], names=["id", "v", "floor"])
 
     return floors
 
@@ -195,7 +220,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         .select("id", "v", "norm")
         .mapInArrow(_packed(PART), "number bigint, value binary")
         .select(
-            F.pmod(F.hash("number"), F.lit(parts)).alias("part"),
+            _dealt(parts).alias("part"),
             F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
             "value",
         )
@@ -207,7 +232,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         .mapInArrow(_packed(QUERIES), "number bigint, value binary")
         .select(
             F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-            F.pmod(F.hash("number"), F.lit(groups)).alias("group"),
+            _dealt(groups).alias("group"),
             "value",
         )
     )

@@ -1,0 +1,54 @@
+"""A unit of the search for inner products stays small, also where every pair is scored."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
+from tallybrook.llm import common, topk
+
+
+def test_a_block_of_which_all_is_scored_is_not_copied_whole():
+    dim, k, rng = 64, 3, np.random.default_rng(1)
+    q = rng.integers(-1000, 1000, (1200, dim))
+    v = rng.integers(-1000, 1000, (1500, dim))
+    v = v[np.argsort(-(v**2).sum(1), kind="stable")]
+    packed = lambda **c: common.pack(pa.table(c))
+    rows = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
+    asked = [packed(id=pa.array(np.arange(a, a + 600)), v=rows(q[a : a + 600]), floor=pa.array(np.full(600, -(2**62)))) for a in (0, 600)]
+    # query n and vector n are of one id
+    parts = packed(id=pa.array(np.arange(len(v))), v=rows(v), norm=pa.array(np.sqrt((v**2).sum(1).astype(float))))
+    table = pa.table({"value": pa.array([*asked, parts], pa.binary())})
+    tracemalloc.start()
+    found = topk._search(dim, np.eye(dim), k)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6, peak  # 1.2 GB when the pairs of a block were copied at once
+    score = q @ v.T
+    own = np.arange(len(q))
+    score[own, own] = -(2**62)
+    want = {(int(i), int(j), int(score[i, j])) for i in own for j in np.lexsort((np.arange(len(v)), -score[i]))[:k]}
+    assert set(zip(*(found[c].to_pylist() for c in ("query_id", "vec_id", "score")))) == want
+
+
+def test_first_bounds_are_found_a_few_queries_at_a_time():
+    dim, k, rng = 32, 10, np.random.default_rng(2)
+    v, q = rng.integers(-1000, 1000, (1024, dim)), rng.integers(-1000, 1000, (6000, dim))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(6000) + 2000), pa.array([r.tobytes() for r in q], pa.binary())], names=["id", "v"])
+    seeds = [{"id": i, "v": r.tobytes()} for i, r in enumerate(v)]
+    floors = topk._floors(seeds, dim, k)
+    tracemalloc.start()
+    out = pa.Table.from_batches(floors(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak  # 100 MB when all queries of a batch met the vectors at once
+    assert out["floor"].to_pylist() == np.sort(q @ v.T, 1)[:, -k].tolist()
+    assert out["id"].to_pylist() == batch.column("id").to_pylist()
+
+
+def test_values_of_one_partition_are_dealt_apart(spark):
+    numbers = [(p << 32) + i for p in range(7) for i in range(2)]
+    rows = spark.createDataFrame([(n,) for n in numbers], "number bigint").select(topk._dealt(7).alias("at"))
+    counts = sorted(r["count"] for r in rows.groupBy("at").count().collect())
+    assert counts == [2] * 7
